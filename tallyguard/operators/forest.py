@@ -183,7 +183,7 @@ def fit_forest(df: DataFrame, id_col: str = "transaction_id", config: AuditConfi
     samples = _tree_samples(scaled, id_col, moments["n"], config)
     seed = config.forest_seed
 
-    def grow(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(id_col)
         tree = int(key[0])
         parts = _grow(rows[list(features)].to_numpy(dtype=np.float64), seed, tree, depth_limit)

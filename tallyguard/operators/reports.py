@@ -106,7 +106,7 @@ def vendor_quadrants(vendors: DataFrame, config: AuditConfig = DEFAULT) -> DataF
     median = exact_quantiles(vendors, "Total_Invoiced", {"median": 0.5}).select("median").scalar()
     spend = F.when(F.col("Total_Invoiced") > F.col("median_spend"), F.lit("high spend")).otherwise(F.lit("low spend"))
     risk = F.when(F.col("Avg_Risk_Score") > config.quadrant_score, F.lit("high risk")).otherwise(F.lit("low risk"))
-    return vendors.withColumn("median_spend", F.round(median, 2)).select(
+    return vendors.withColumn("median_spend", F.round(median, 4)).select(
         "vendor_id",
         "vendor_name",
         F.round("Total_Invoiced", 2).alias("Total_Invoiced"),

@@ -69,4 +69,7 @@ _workspaces: dict[tuple[str, str], Workspace] = {}
 
 def workspace_for(spark: SparkSession, folder: str, build: Callable[[], Workspace]) -> Workspace:
     """The session's workspace for an input folder."""
-    return _workspaces.setdefault((spark.sparkContext.applicationId, folder), build())
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _workspaces:
+        _workspaces[key] = build()
+    return _workspaces[key]
