@@ -11,7 +11,7 @@ from tallyguard.operators.rules import DUPLICATE_KEY, department_baseline, dupli
 from tallyguard.plans.ordered import ordered_windows
 from tallyguard.plans.quantiles import order_statistics
 from tallyguard.plans.scratch import write_once
-from tallyguard.plans.small_side import attach_group_values
+from tallyguard.plans.small_side import attach_group_values, settle
 
 
 def duplicate_invoices(staged: DataFrame) -> DataFrame:
@@ -23,7 +23,9 @@ def duplicate_invoices(staged: DataFrame) -> DataFrame:
     narrow = staged.select(
         "transaction_id", "transaction_date", "vendor_id", "vendor_name", "invoice_number", "amount"
     )
-    members = attach_group_values(narrow, repeats, DUPLICATE_KEY, "invoice_rows", "transaction_id", "inner")
+    members = attach_group_values(
+        narrow, repeats, DUPLICATE_KEY, "invoice_rows", "transaction_id", "inner", settled=True
+    )
     numbered = ordered_windows(
         members, DUPLICATE_KEY, ["transaction_date", "transaction_id"], number="duplicate_instance_num"
     )
@@ -83,10 +85,10 @@ def extreme_spend(staged: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame
         F.min("below").alias("rows_below"),
     )
     baseline = department_baseline(staged).drop("dept_rows")
-    departments = thresholds.join(baseline, "department")
+    departments = settle(thresholds.join(baseline, "department"))
 
     narrow = staged.select("transaction_id", "transaction_date", "department", "vendor_name", "amount")
-    rows = attach_group_values(narrow, departments, ["department"], "dept_rows", "transaction_id", "inner")
+    rows = attach_group_values(narrow, departments, ["department"], "dept_rows", "transaction_id", "inner", settled=True)
     high = F.col("amount") >= F.col("lowest_amount")
 
     ranked = ordered_windows(

@@ -98,13 +98,20 @@ def average_path(rows: float) -> float:
 
 
 def feature_scaling(df: DataFrame, features: Sequence[str] = FOREST_FEATURES) -> Scaling:
-    """Mean and population deviation of every feature in one aggregate."""
+    """Mean and population deviation of every feature in one aggregate.
+
+    Kept to ten digits: the order in which partial sums meet only shows behind those.
+    """
     moments = df.agg(
         *[F.avg(name).alias(f"m_{name}") for name in features],
         *[F.stddev_pop(name).alias(f"s_{name}") for name in features],
     ).first()
-    mean = {name: float(moments[f"m_{name}"] or 0.0) for name in features}
-    scale = {name: float(moments[f"s_{name}"] or 0.0) or 1.0 for name in features}
+
+    def stable(value: float | None) -> float:
+        return float(f"{value or 0.0:.10g}")
+
+    mean = {name: stable(moments[f"m_{name}"]) for name in features}
+    scale = {name: stable(moments[f"s_{name}"]) or 1.0 for name in features}
     return Scaling(mean, scale)
 
 

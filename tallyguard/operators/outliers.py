@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from tallyguard.config import DEFAULT, AuditConfig
 from tallyguard.functions.money import flag
 from tallyguard.plans.quantiles import approx_quantiles, exact_quantiles
-from tallyguard.plans.scratch import write_once
-from tallyguard.plans.small_side import attach_group_values
+from tallyguard.plans.small_side import attach_group_values, settle
 
 _METHODS = {"exact": exact_quantiles, "approx": approx_quantiles}
 
@@ -31,7 +30,7 @@ def _fences(quartiles: DataFrame, config: AuditConfig) -> DataFrame:
 def _spreads(df: DataFrame, medians: DataFrame, by: str, method: str) -> DataFrame:
     """Median absolute deviation per group; a zero one is replaced by the sample deviation of the amounts."""
     rows = attach_group_values(
-        df.select(by, "amount", "transaction_id"), medians, [by], "n", "transaction_id", "inner"
+        df.select(by, "amount", "transaction_id"), medians, [by], "n", "transaction_id", "inner", settled=True
     ).withColumn("deviation", F.abs(F.col("amount") - F.col("median")))
     deviations = _METHODS[method](rows, "deviation", {"mad": 0.5}, [by]).drop("n")
     fallback = df.groupBy(by).agg(F.stddev_samp("amount").alias("deviation"))
@@ -57,7 +56,7 @@ def iqr_outliers(df: DataFrame, config: AuditConfig = DEFAULT, by: str = "depart
 
 
 def mad_outliers(df: DataFrame, config: AuditConfig = DEFAULT, by: str = "department", method: str = "exact") -> DataFrame:
-    medians = write_once(group_quantiles(df, {"median": 0.5}, by, method), "medians")
+    medians = settle(group_quantiles(df, {"median": 0.5}, by, method))
     constants = medians.join(_spreads(df, medians, by, method), by)
     rows = attach_group_values(df, constants, [by], "n", "transaction_id")
     return rows.withColumns(_zscore_columns(config)).select(*df.columns, "stat_zscore", "stat_zscore_flag")
@@ -66,7 +65,7 @@ def mad_outliers(df: DataFrame, config: AuditConfig = DEFAULT, by: str = "depart
 def add_statistics(df: DataFrame, config: AuditConfig = DEFAULT, by: str = "department", method: str = "exact") -> DataFrame:
     """Both tests from one set of quantiles."""
     quartiles = group_quantiles(df, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by, method)
-    fences = write_once(_fences(quartiles, config), "fences")
+    fences = settle(_fences(quartiles, config))
     constants = fences.join(_spreads(df, fences.select(by, "n", "median"), by, method), by)
     rows = attach_group_values(df, constants, [by], "n", "transaction_id")
     return rows.withColumns({**_iqr_columns(), **_zscore_columns(config)}).select(

@@ -115,7 +115,7 @@ def score_ledger(staged: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame:
     times, so it should be a written table. A null department matches no baseline and drops out.
     """
     repeats = write_once(duplicate_groups(staged), "duplicates")
-    rows = attach_group_values(staged, repeats, DUPLICATE_KEY, "invoice_rows", "transaction_id", "left")
+    rows = attach_group_values(staged, repeats, DUPLICATE_KEY, "invoice_rows", "transaction_id", "left", settled=True)
     rows = rows.withColumn("flag_duplicate_invoice", flag(F.col("invoice_rows") > 1))
     rows = attach_group_values(
         rows, department_baseline(staged), ["department"], "dept_rows", "transaction_id", "inner"

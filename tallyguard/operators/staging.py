@@ -44,55 +44,60 @@ def dedup_rejects(df: DataFrame, key: str = "transaction_id", order: tuple[str,
 def _amount(df: DataFrame) -> Column:
     """Text that is not a number becomes null and never a zero amount."""
     if isinstance(df.schema["amount"].dataType, StringType):
-        return F.trim("amount").try_cast("double")
+        number = F.trim("amount").try_cast("double")
+        return F.when(~F.isnan(number), number)
     return F.col("amount").cast("double")
 
 
-def _cleansed(raw: DataFrame, order: tuple[str, ...]) -> DataFrame:
+#: source columns that may not be missing; the other required columns follow from these
+_REQUIRED_SOURCES = (
+    "account_id",
+    "department",
+    "vendor_id",
+    "vendor_name",
+    "payment_method",
+    "transaction_type",
+)
+
+
+def _first_arrivals(raw: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Deduplicated feed with the amount as a number and the date as a date."""
     day = calendar.parse_date(F.col("transaction_date").cast("string"))
-    trimmed = [
-        "account_id",
-        "department",
-        "vendor_id",
-        "vendor_name",
-        "payment_method",
-        "transaction_type",
-        "description",
-    ]
-    rows = dedup_first(raw, order=order).withColumns(
-        {
-            "_amount": _amount(raw),
-            "_day": day,
-            "_weekday": calendar.sunday_zero(day),
-        }
-    )
-    return rows.select(
-        "transaction_id",
+    return dedup_first(raw, order=order).withColumns({"_amount": _amount(raw), "_day": day})
+
+
+def _complete() -> Column:
+    """Tested on the source columns, so that the filter does not repeat the cleansing expressions."""
+    valid = F.col("_day").isNotNull() & F.col("_amount").isNotNull()
+    for name in _REQUIRED_SOURCES:
+        valid = valid & F.col(name).isNotNull()
+    return valid
+
+
+def _cleansed() -> list[Column]:
+    weekday = calendar.sunday_zero(F.col("_day"))
+    return [
+        F.col("transaction_id"),
         F.col("_day").alias("transaction_date"),
         F.year("_day").alias("transaction_year"),
         F.month("_day").alias("transaction_month"),
-        F.col("_weekday").alias("day_of_week"),
+        weekday.alias("day_of_week"),
         calendar.day_name(F.col("_day")).alias("day_name"),
-        F.when(F.col("_weekday").isin(0, 6), F.lit(1)).otherwise(F.lit(0)).alias("is_weekend"),
-        *[F.trim(name).alias(name) for name in trimmed[:4]],
+        F.when(weekday.isin(0, 6), F.lit(1)).otherwise(F.lit(0)).alias("is_weekend"),
+        F.trim("account_id").alias("account_id"),
+        F.trim("department").alias("department"),
+        F.trim("vendor_id").alias("vendor_id"),
+        F.trim("vendor_name").alias("vendor_name"),
         F.round("_amount", 2).alias("amount"),
         F.coalesce(clean_text("currency"), F.lit(DEFAULT_CURRENCY)).alias("currency"),
         F.trim("payment_method").alias("payment_method"),
         clean_text("invoice_number").alias("invoice_number"),
         clean_text("approver_id").alias("approver_id"),
-        *[F.trim(name).alias(name) for name in trimmed[5:]],
+        F.trim("transaction_type").alias("transaction_type"),
+        F.trim("description").alias("description"),
         F.coalesce("is_anomaly", F.lit(0)).alias("ground_truth_anomaly"),
         F.coalesce("anomaly_type", F.lit(BENIGN_LABEL)).alias("ground_truth_type"),
-        F.col("_amount").alias("_raw_amount"),
-        F.col("amount").alias("_source_amount"),
-    )
-
-
-def _complete() -> Column:
-    valid = F.lit(True)
-    for name in schemas.STAGED_REQUIRED:
-        valid = valid & F.col(name).isNotNull()
-    return valid
+    ]
 
 
 def stage(raw: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
@@ -101,17 +106,18 @@ def stage(raw: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
     Deduplication comes first, so an id whose first arrival has no positive amount is gone altogether. The
     amount is tested before rounding. Rows that lack a required value are left to ``quarantine``.
     """
-    rows = _cleansed(raw, order).where(F.col("_raw_amount") > 0)
-    return rows.where(_complete()).select(*schemas.STAGED_COLUMNS)
+    return _first_arrivals(raw, order).where((F.col("_amount") > 0) & _complete()).select(*_cleansed())
 
 
 def quarantine(raw: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
-    """First arrivals that could not be staged for lack of a required value, with the columns at fault."""
-    rows = _cleansed(raw, order)
-    unreadable = F.col("_source_amount").isNotNull() & F.col("_raw_amount").isNull()
-    kept = rows.where(unreadable | (F.col("_raw_amount") > 0)).where(~_complete())
-    missing = [F.when(F.col(name).isNull(), F.lit(name)) for name in schemas.STAGED_REQUIRED]
-    return kept.select(*schemas.STAGED_COLUMNS, F.concat_ws(",", *missing).alias("missing_columns"))
+    """First arrivals that could not be staged for lack of a required value, with the columns at fault.
+
+    Rows without any amount, or with one that is not positive, are dropped by rule and do not show here.
+    """
+    unreadable = F.col("amount").isNotNull() & F.col("_amount").isNull()
+    kept = _first_arrivals(raw, order).where((unreadable | (F.col("_amount") > 0)) & ~_complete())
+    missing = F.concat_ws(",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in schemas.STAGED_REQUIRED])
+    return kept.select(*_cleansed()).withColumn("missing_columns", missing)
 
 
 def staged_count(staged: DataFrame) -> DataFrame:

@@ -27,6 +27,12 @@ def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
+def settle(df: DataFrame, label: str = "groups", max_rows: int | None = None) -> DataFrame:
+    """A small aggregate as a local table, a large one as a written table: computed once either way."""
+    small = bounded(df, max_rows)
+    return small if small is not None else write_once(df, label)
+
+
 def attach_group_values(
     df: DataFrame,
     groups: DataFrame,
@@ -36,18 +42,19 @@ def attach_group_values(
     how: str = "left",
     max_rows: int | None = None,
     hot_groups: int | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """Join one-row-per-group ``groups`` to ``df`` on ``keys``; ``how`` is left or inner.
 
     ``rows_col`` is the row count of each group and ``spread_on`` a high-cardinality column of ``df``.
-    Rows with a null key match nothing.
+    Rows with a null key match nothing. ``settled`` says that ``groups`` is a local or a written table.
     """
     small = bounded(groups, max_rows)
     if small is not None:
         return df.join(F.broadcast(small), keys, how)
 
     hot_limit = hot_groups or HOT_GROUPS
-    groups = write_once(groups, "groups")
+    groups = groups if settled else write_once(groups, "groups")
     total = groups.agg(F.sum(rows_col)).first()[0]
     values = [name for name in groups.columns if name not in keys]
     hot = groups.where(F.col(rows_col) * F.lit(hot_limit) > F.lit(total)).select(
