@@ -7,11 +7,13 @@ scored batch by batch with numpy. Samples depend on hashes of the row id, never
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from tallyguard.functions.money import flag
 from tallyguard.plans.quantiles import exact_quantiles
 from tallyguard.plans.scratch import write_once
 
+# the functions of this module travel to the executors as code, which need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: rows that all trees draw their samples from, at least while the ledger has that many
 POOL_ROWS = 16_384
 _HASH_RANGE = float(2**63)

@@ -56,7 +56,7 @@ def order_statistics(
 
     small = bounded(targets, max_rows)
     if small is not None:
-        targets = small
+        targets = F.broadcast(small)
         inside = base.join(F.broadcast(small.select(*by, "_bucket").distinct()), [*by, "_bucket"], "left_semi")
     else:
         targets = write_once(targets, "ranks")

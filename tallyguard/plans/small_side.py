@@ -7,8 +7,10 @@ every other group meets its rows in a shuffle join in which the rows of hot grou
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyguard.plans.scratch import write_once
 
@@ -24,7 +26,11 @@ def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), to_arrow_schema(df.schema).types)]
+    if not rows:
+        return df.sparkSession.createDataFrame([], df.schema)
+    # by way of Arrow it becomes a local relation, which Spark plans without tasks of its own
+    return df.sparkSession.createDataFrame(pa.table(columns, names=df.columns), df.schema)
 
 
 def settle(df: DataFrame, label: str = "groups", max_rows: int | None = None) -> DataFrame:

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
+import pickle
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from conftest import SMALL
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -88,3 +93,16 @@ def test_constant_feature_keeps_scale_one(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     rows = forest.standardize(df, ["a", "b"]).orderBy("a").collect()
     assert [(r["a_std"], r["b_std"]) for r in rows] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_tree_code_needs_no_package_on_executors(tmp_path):
+    """What Spark ships to a worker must load where only numpy and pandas are installed."""
+    points = np.array([[0.0, 1.0], [1.0, 1.0], [9.0, 1.0]])
+    work = cloudpickle.dumps((forest._grow, (points, 42, 0, 2)))
+    (tmp_path / "work.pkl").write_bytes(work)
+    script = (
+        "import pickle, sys; f, a = pickle.load(open('work.pkl', 'rb')); assert len(f(*a)) == 4; "
+        "assert 'tallyguard' not in sys.modules"
+    )
+    subprocess.run([sys.executable, "-c", script], cwd=tmp_path, check=True)
+    assert pickle.loads(work)[0](*pickle.loads(work)[1])[2][0] == 1
