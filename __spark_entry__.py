@@ -306,6 +306,8 @@ def queries() -> dict[str, Query]:
         "measures_sliced": _measures_sliced,
         "yoy_spend": lambda ws: measures.same_period_last_year(ws.flagged),
         "mom_spend": lambda ws: measures.month_over_month(ws.flagged),
+        "yoy_spend_by_year": lambda ws: measures.same_period_last_year(ws.flagged, grain="year"),
+        "mom_spend_by_department": lambda ws: measures.month_over_month(ws.flagged, ["department"]),
         "rpt_cards": lambda ws: reports.kpi_cards(ws.flagged),
         "rpt_spend_by_tier": lambda ws: reports.spend_by_tier(ws.flagged),
         "rpt_monthly_exposure": lambda ws: reports.monthly_exposure(

@@ -689,6 +689,24 @@ ORACLE["mom_spend"] = _q(
                 coalesce(round((a.spend - b.spend) / b.spend, 6), 0) AS mom_spend_growth
          FROM months a LEFT JOIN months b ON a.y * 12 + a.m = b.y * 12 + b.m + 1""",
 )
+ORACLE["yoy_spend_by_year"] = _q(
+    FLAGGED,
+    """, years AS (SELECT CAST(year(transaction_date) AS INTEGER) AS y, sum(amount) AS spend FROM flagged GROUP BY 1)
+       SELECT a.y AS "Year", round(a.spend, 2) AS total_spend, round(b.spend, 2) AS spend_previous_year,
+              coalesce(round((a.spend - b.spend) / b.spend, 6), 0) AS yoy_spend_growth
+       FROM years a LEFT JOIN years b ON a.y = b.y + 1""",
+)
+ORACLE["mom_spend_by_department"] = _q(
+    FLAGGED,
+    """, months AS (SELECT department, CAST(year(transaction_date) AS INTEGER) AS y,
+                           CAST(month(transaction_date) AS INTEGER) AS m, sum(amount) AS spend
+                    FROM flagged GROUP BY 1, 2, 3)
+       SELECT a.department, a.y AS "Year", a.m AS "MonthNumber", round(a.spend, 2) AS total_spend,
+              round(b.spend, 2) AS spend_previous_month,
+              coalesce(round((a.spend - b.spend) / b.spend, 6), 0) AS mom_spend_growth
+       FROM months a LEFT JOIN months b
+         ON a.department = b.department AND a.y * 12 + a.m = b.y * 12 + b.m + 1""",
+)
 ORACLE["rpt_cards"] = _q(
     FLAGGED,
     """SELECT round(sum(amount), 2) AS total_spend,

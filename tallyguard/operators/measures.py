@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.config import LOWEST_TIER
-from tallyguard.functions.money import count_where, money_avg, money_sum, safe_ratio
-from tallyguard.operators.star import monthly_cents
+from tallyguard.functions.money import cents, count_where, money_avg, money_sum, safe_ratio
 
 
 def _tier(*names: str) -> Column:
@@ -88,38 +87,44 @@ def measure(df: DataFrame, names: Sequence[str], by: Sequence[str | Column] = ()
     return rows.groupBy(*by).agg(*[MEASURES[name]().alias(name) for name in names])
 
 
-def same_period_last_year(df: DataFrame) -> DataFrame:
-    """Monthly spend beside the same month a year earlier, with growth; 0 where there is no earlier month."""
-    months = monthly_cents(df)
-    # the calendar bounds the number of months on both sides
-    earlier = months.select(
-        (F.col("Year") + 1).alias("Year"), "MonthNumber", F.col("_cents").alias("_earlier")
-    )
-    return _growth(months, earlier, "spend_previous_year", "yoy_spend_growth")
+def _period_cents(df: DataFrame, by: Sequence[str], grain: str) -> tuple[list[str], DataFrame]:
+    """Spend in cents per calendar period and group. The calendar bounds the number of periods."""
+    parts = {"Year": F.year("transaction_date"), "MonthNumber": F.month("transaction_date")}
+    names = ["Year"] if grain == "year" else ["Year", "MonthNumber"]
+    columns = [parts[name].alias(name) for name in names]
+    return [*by, *names], df.groupBy(*by, *columns).agg(F.sum(cents()).alias("_cents"))
+
+
+def same_period_last_year(df: DataFrame, by: Sequence[str] = (), grain: str = "month") -> DataFrame:
+    """Spend per month or year beside the same period a year earlier, with growth; 0 without an earlier one."""
+    keys, periods = _period_cents(df, by, grain)
+    earlier = periods.withColumn("Year", F.col("Year") + 1)
+    return _growth(keys, periods, earlier, "spend_previous_year", "yoy_spend_growth")
 
 
-def month_over_month(df: DataFrame) -> DataFrame:
+def month_over_month(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Monthly spend beside the previous calendar month, with growth; 0 where that month has no rows."""
-    months = monthly_cents(df)
+    keys, periods = _period_cents(df, by, "month")
     december = F.col("MonthNumber") == 12
-    earlier = months.select(
-        F.when(december, F.col("Year") + 1).otherwise(F.col("Year")).alias("Year"),
-        F.when(december, F.lit(1)).otherwise(F.col("MonthNumber") + 1).alias("MonthNumber"),
-        F.col("_cents").alias("_earlier"),
+    earlier = periods.withColumns(
+        {
+            "Year": F.when(december, F.col("Year") + 1).otherwise(F.col("Year")),
+            "MonthNumber": F.when(december, F.lit(1)).otherwise(F.col("MonthNumber") + 1),
+        }
     )
-    return _growth(months, earlier, "spend_previous_month", "mom_spend_growth")
+    return _growth(keys, periods, earlier, "spend_previous_month", "mom_spend_growth")
 
 
-def _growth(months: DataFrame, earlier: DataFrame, previous_name: str, growth_name: str) -> DataFrame:
+def _growth(keys: list[str], periods: DataFrame, earlier: DataFrame, previous_name: str, growth_name: str) -> DataFrame:
+    """Both sides have one row per group and period."""
     change = F.col("_cents") - F.col("_earlier")
     return (
-        months.join(earlier, ["Year", "MonthNumber"], "left")
+        periods.join(earlier.withColumnRenamed("_cents", "_earlier"), keys, "left")
         .select(
-            "Year",
-            "MonthNumber",
+            *keys,
             F.round(F.col("_cents") / 100.0, 2).alias("total_spend"),
             F.round(F.col("_earlier") / 100.0, 2).alias(previous_name),
             F.round(safe_ratio(change, F.col("_earlier")), 6).alias(growth_name),
         )
-        .orderBy("Year", "MonthNumber")
+        .orderBy(*keys)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyguard import schemas
 from tallyguard.config import LOWEST_TIER
 from tallyguard.functions import calendar
-from tallyguard.functions.money import cents, count_where, money_avg, money_sum
+from tallyguard.functions.money import count_where, money_avg, money_sum
 from tallyguard.plans.ordered import ordered_windows
 from tallyguard.plans.small_side import bounded
 
@@ -82,10 +82,3 @@ def fact(df: DataFrame, ml: bool = True) -> DataFrame:
     model = ("ml_anomaly_score", "ml_iso_forest_flag")
     columns = [name for name in schemas.FACT_COLUMNS if ml or name not in model]
     return df.withColumn("DateKey", calendar.date_key(F.col("transaction_date"))).select(*columns)
-
-
-def monthly_cents(df: DataFrame) -> DataFrame:
-    """Spend in cents per calendar month of the fact."""
-    return df.groupBy(
-        F.year("transaction_date").alias("Year"), F.month("transaction_date").alias("MonthNumber")
-    ).agg(F.sum(cents()).alias("_cents"))

@@ -169,3 +169,18 @@ def test_slicers(staged_rows):
     assert ids(vendors=["A", "C"]) == {"T1", "T3"}
     assert ids(approvers=["X"]) == {"T2"} and ids(tiers=["Critical"]) == set()
     assert len(ids(reasons=["Normal Verified Business Spend"])) == 3
+
+
+def test_only_the_wanted_labels_are_planted(spark):
+    from conftest import SMALL
+
+    from tallyguard.sources import ledger, perturb
+
+    tables = ledger.load_tables(spark, SMALL, ledger.LEDGER_TABLES)
+    lines = tables["lineitem"].count()
+    clean = ledger.derive_ledger(tables, kinds=())
+    assert clean.count() == lines and clean.where("anomaly_type is not null").count() == 0
+    two = ledger.derive_ledger(tables, kinds=(perturb.ROUND, perturb.REFED)).groupBy("anomaly_type").count()
+    found = {r["anomaly_type"]: r["count"] for r in two.collect()}
+    assert set(found) == {None, "ANOM_ROUND_AMOUNT", "ANOM_DUPLICATE_TXN_ID"}
+    assert sum(found.values()) == lines + found["ANOM_DUPLICATE_TXN_ID"]
