@@ -1,7 +1,7 @@
 """Headline timings. Prints one JSON line.
 
 ``BENCH_SF_DIR`` names the input folder and ``BENCH_CPUS`` the local cores. Every query is run once to warm
-the JVM on the same folder and then timed; staging and scoring are timed from the source tables, the rest
+the JVM on the same folder and then timed (the whole audit, last, finds it warm); staging and scoring are timed from the source tables, the rest
 from the written staged and flagged tables, as they are used. ``audit_run`` is a whole run from the source
 tables to all deliverables.
 """
@@ -74,7 +74,8 @@ def main() -> None:
     rows = ws.staged.count()
     seconds = {}
     for name, run in queries.items():
-        run()
+        if name != "audit_run":
+            run()
         began = time.perf_counter()
         run()
         seconds[name] = round(time.perf_counter() - began, 3)

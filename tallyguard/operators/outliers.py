@@ -32,7 +32,9 @@ def _spreads(df: DataFrame, medians: DataFrame, by: str, method: str) -> DataFra
     rows = attach_group_values(
         df.select(by, "amount", "transaction_id"), medians, [by], "n", "transaction_id", "inner", settled=True
     ).withColumn("deviation", F.abs(F.col("amount") - F.col("median")))
-    deviations = _METHODS[method](rows, "deviation", {"mad": 0.5}, [by]).drop("n")
+    deviations = settle(_METHODS[method](rows, "deviation", {"mad": 0.5}, [by]).drop("n"))
+    if deviations.where(F.col("mad") == 0).isEmpty():
+        return deviations
     fallback = df.groupBy(by).agg(F.stddev_samp("amount").alias("deviation"))
     # both sides have one row per group
     spread = F.when(F.col("mad") == 0, F.col("deviation")).otherwise(F.col("mad"))

@@ -117,27 +117,25 @@ def decide_batch(batch: DataFrame, released: DataFrame | None, order: tuple[str,
     return batch.join(chosen, "transaction_id", "left").withColumn("decision", verdict).drop("_verdict")
 
 
-def release_or_block(stream: DataFrame, label: str = "payments") -> DataFrame:
+def release_or_block(stream: DataFrame, target: str | None = None) -> DataFrame:
     """Pre-payment duplicate block over everything that is there now; returns all rows with a decision.
 
-    Every micro-batch is written to its own folder, and a repeated batch overwrites its folder, so a restart
-    does not count a row twice. Earlier batches are read back from those folders.
+    Every micro-batch is a folder below ``target``, and a repeated batch overwrites its folder, so a restart
+    does not count a row twice. Earlier batches are read back from there, also those of an earlier run with
+    the same ``target``.
     """
     spark = stream.sparkSession
-    target = scratch_path(spark, label)
+    target = target or scratch_path(spark, "payments")
+    rows = f"{target}/rows"
     decided = StructType.fromJson(stream.schema.jsonValue()).add("decision", "string")
-    done: list[str] = []
+    stored = StructType.fromJson(decided.jsonValue()).add("batch", "int")
 
     def handle(batch: DataFrame, number: int) -> None:
-        folder = f"{target}/rows/batch_{number:09d}"
-        earlier = [path for path in done if path < folder]
         released = None
-        if earlier:
-            before = batch.sparkSession.read.schema(decided).parquet(*earlier)
+        if number > 0:
+            before = batch.sparkSession.read.schema(stored).parquet(rows).where(F.col("batch") < number)
             released = before.where((F.col("decision") == "released") & F.col("invoice_number").isNotNull())
-        decide_batch(batch, released).select(*decided.names).write.mode("overwrite").parquet(folder)
-        if folder not in done:
-            done.append(folder)
+        decide_batch(batch, released).select(*decided.names).write.mode("overwrite").parquet(f"{rows}/batch={number}")
 
     query = (
         stream.writeStream.foreachBatch(handle)
@@ -146,9 +144,7 @@ def release_or_block(stream: DataFrame, label: str = "payments") -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    if not done:
-        return spark.createDataFrame([], decided)
-    return spark.read.schema(decided).parquet(*done)
+    return spark.read.schema(stored).parquet(rows).drop("batch")
 
 
 def with_baseline(stream: DataFrame, baseline: DataFrame) -> DataFrame:

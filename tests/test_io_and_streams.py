@@ -102,6 +102,25 @@ def test_block_across_batches(payments):
     }
 
 
+def test_block_goes_on_after_a_restart(spark, tmp_path):
+    """A second run with the same folder sees only new files, and still knows what was paid before."""
+    start = dt.datetime(2024, 1, 1)
+
+    def feed(*rows):
+        frame = spark.createDataFrame([(i, start, u, "a", 49.0, "{}") for i, u in rows], schemas.EVENTS)
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        events = controls.read_files(spark, str(tmp_path / "in"), schemas.EVENTS)
+        rows = ledger.event_rows(events, controls.utc_instant("ts"))
+        return {r["event_id"]: r["decision"] for r in controls.release_or_block(rows, str(tmp_path / "out")).collect()}
+
+    feed((1, 7), (2, 8))
+    assert run() == {1: "released", 2: "released"}
+    feed((3, 7), (4, 9))
+    assert run() == {1: "released", 2: "released", 3: "blocked", 4: "released"}
+
+
 def test_missing_invoices_are_released(spark, payments):
     batch = spark.createDataFrame([("A", 1, "V", None, 1.0), ("B", 2, "V", None, 1.0)],
                                   "transaction_id string, event_time int, vendor_id string, invoice_number string, amount double")
