@@ -86,9 +86,9 @@ def load_forest(saved: DataFrame) -> Forest:
 
 def _arrays(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return (
-        np.asarray(row["feature"], dtype=np.int32),
+        np.asarray(row["feature"], dtype=np.int64),
         np.asarray(row["threshold"], dtype=np.float64),
-        np.asarray(row["left"], dtype=np.int32),
+        np.asarray(row["left"], dtype=np.int64),
         np.asarray(row["path"], dtype=np.float64),
     )
 
@@ -213,15 +213,17 @@ def path_score(forest: Forest) -> Column:
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
-        points = np.column_stack([column.to_numpy(dtype=np.float64) for column in columns])
-        flat, width = points.ravel(), points.shape[1]
-        start = np.arange(len(points), dtype=np.int64) * width
-        total = np.zeros(len(points))
+        rows = len(columns[0])
+        values = np.concatenate([column.to_numpy(dtype=np.float64) for column in columns])
+        position = np.arange(rows)
+        total = np.zeros(rows)
         for feature, threshold, left, path in trees:
-            node = np.zeros(len(points), dtype=np.int32)
+            offset = feature * rows
+            node = np.zeros(rows, dtype=np.int64)
             for _ in range(depth):
-                node = left[node] + (flat[start + feature[node]] > threshold[node])
-            total += path[node]
+                goes_right = values.take(offset.take(node) + position) > threshold.take(node)
+                node = left.take(node) + goes_right
+            total += path.take(node)
         return pd.Series(np.exp2(-(total / len(trees)) / expected))
 
     return score(*[forest.scaling.apply(name) for name in forest.features])

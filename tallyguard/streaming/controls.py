@@ -128,7 +128,7 @@ def release_or_block(stream: DataFrame, target: str | None = None) -> DataFrame:
     target = target or scratch_path(spark, "payments")
     rows = f"{target}/rows"
     decided = StructType.fromJson(stream.schema.jsonValue()).add("decision", "string")
-    stored = StructType.fromJson(decided.jsonValue()).add("batch", "int")
+    stored = StructType.fromJson(decided.jsonValue()).add("batch", "integer")
 
     def handle(batch: DataFrame, number: int) -> None:
         released = None
