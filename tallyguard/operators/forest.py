@@ -102,21 +102,21 @@ def average_path(rows: float) -> float:
     return 2.0 * (math.log(rows - 1.0) + _EULER) - 2.0 * (rows - 1.0) / rows
 
 
-def feature_scaling(df: DataFrame, features: Sequence[str] = FOREST_FEATURES) -> Scaling:
+def feature_scaling(df: DataFrame, features: Sequence[str] = FOREST_FEATURES, digits: int = 17) -> Scaling:
     """Mean and population deviation of every feature in one aggregate.
 
-    Kept to ten digits: the order in which partial sums meet only shows behind those.
+    The order in which partial sums meet shows in the last digits only; fewer ``digits`` hide it.
     """
     moments = df.agg(
         *[F.avg(name).alias(f"m_{name}") for name in features],
         *[F.stddev_pop(name).alias(f"s_{name}") for name in features],
     ).first()
 
-    def stable(value: float | None) -> float:
-        return float(f"{value or 0.0:.10g}")
+    def kept(value: float | None) -> float:
+        return float(f"{value or 0.0:.{digits}g}")
 
-    mean = {name: stable(moments[f"m_{name}"]) for name in features}
-    scale = {name: stable(moments[f"s_{name}"]) or 1.0 for name in features}
+    mean = {name: kept(moments[f"m_{name}"]) for name in features}
+    scale = {name: kept(moments[f"s_{name}"]) or 1.0 for name in features}
     return Scaling(mean, scale)
 
 
@@ -190,7 +190,7 @@ def fit_forest(df: DataFrame, id_col: str = "transaction_id", config: AuditConfi
     if sample_rows == 0:
         raise ValueError("cannot fit a forest on an empty ledger")
     depth_limit = math.ceil(math.log2(max(sample_rows, 2)))
-    scaling = feature_scaling(df, features)
+    scaling = feature_scaling(df, features, digits=10)
     scaled = df.select(id_col, *[scaling.apply(name).alias(name) for name in features])
     samples = _tree_samples(scaled, id_col, moments["n"], config)
     seed = config.forest_seed
