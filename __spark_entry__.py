@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -37,6 +38,29 @@ from tallyguard.sources import files, ledger  # noqa: E402
 from tallyguard.streaming import controls  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _present(name: str) -> bool:
+    """Whether a module's file is there; errors inside it are not hidden."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
+
+
+#: queries and SQL of the text operators, when their subpackage is there
+TEXT_QUERIES: dict[str, Query] = {}
+TEXT_SQL: dict[str, str] = {}
+if _present("tallyguard.llm"):
+    from tallyguard.llm import entries as text_entries
+
+    TEXT_QUERIES.update(text_entries.QUERIES)
+    TEXT_SQL.update(text_entries.SQL)
+if _present("corpus_pipeline"):
+    import corpus_pipeline
+
+    TEXT_QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        TEXT_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 
@@ -354,9 +378,9 @@ def queries() -> dict[str, Query]:
         "stream_rules": _stream_rules,
         "stream_forest_screen": _stream_forest,
     }
-    return {**{name: _on(build) for name, build in ledger_queries.items()}, **plain_queries}
+    return {**{name: _on(build) for name, build in ledger_queries.items()}, **plain_queries, **TEXT_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for every query that plain SQL can express."""
-    return dict(ORACLE)
+    return {**ORACLE, **TEXT_SQL}
