@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import frames, packing
+from tallyguard.llm import frames, packing, seed_extend, simhash, suffix_dedup
 from tallyguard.llm.common import documents
 from tallyguard.plans.scratch import scratch_path
 
@@ -21,12 +21,45 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["start"])
+
+
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeated_bytes(documents(spark, folder), length=400)
+    return rows.select(
+        "doc_id",
+        F.col("units").alias("n_bytes"),
+        _removed().alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op9_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
+    rows = seed_extend.remove_repeated_words(documents(spark, folder), length=35)
+    return rows.select(
+        "doc_id", F.col("units").alias("n_words"), _removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "ids")
     frames.write_ids(documents(spark, folder), target)
     return frames.read_ids(spark, target).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES: dict[str, Query] = {"op1_packing": op1_packing, "op7_token_files": op7_token_files}
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash.near_duplicates(documents(spark, folder), shingle=3, distance=3)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op7_token_files": op7_token_files,
+    "op9_seed_extend": op9_seed_extend,
+    "op10_simhash": op10_simhash,
+}
 
 SQL: dict[str, str] = {}
