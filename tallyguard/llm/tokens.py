@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 from tallyguard.llm.common import worker_state
 
@@ -24,7 +23,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class ChunkEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; holds at most ``room`` chunks of at most 40 characters."""
+    """Encodes texts to little-endian unsigned 32-bit ids.
+
+    Holds the ids of at most about ``room`` chunks and ``room`` lower-case words, each of at most 40 characters.
+    """
 
     def __init__(self, path: str, room: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,54 +34,56 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.room, self.known = room, {"": b""}
+        self.room, self.known, self.words = room, {"": b""}, {}
         # letters that neither compose nor change length, then marks without an apostrophe: two separate pre-tokens
-        self.parts = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,;:!?*%$#&]{1,8})").fullmatch
+        self.parts = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,;:!?*%$#&]{0,8})").fullmatch
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _learn(self, chunks: set[str]) -> None:
-        known, parts = self.known, {}
-        simple = set()
+        words, split = self.words, {}
         for chunk in chunks:
-            if m := self.parts(chunk):
-                parts[chunk] = m.groups()
-                simple.update(x for x in m.groups() if x not in known)
-            else:
-                simple.add(chunk)
-        simple = list(simple)
-        for start in range(0, len(simple), 5000):
-            some = simple[start : start + 5000]
-            known.update(zip(some, self._encode(some)))
-        for chunk, (word, marks) in parts.items():
-            known[chunk] = known[word] + known[marks]
+            m = self.parts(chunk)
+            split[chunk] = (m[1].lower(), m[2]) if m else (chunk, "")
+        new = list({w for pair in split.values() for w in pair if w and w not in words})
+        for start in range(0, len(new), 5000):
+            some = new[start : start + 5000]
+            words.update(zip(some, self._encode(some)))
+        for chunk, (word, marks) in split.items():
+            self.known[chunk] = words[word] + words[marks] if marks else words[word]
+
+    def _make_room(self) -> None:
+        if len(self.known) > self.room:
+            self.known = {"": b""}
+        if len(self.words) > self.room:
+            self.words = {}
+
+    def learn(self, texts: list[str]) -> None:
+        """Meet the chunks of several texts together, which spares calls."""
+        self._make_room()
+        new: set[str] = set()
+        for text in texts:
+            new.update(_chunks(text))
+        self._learn({c for c in new if len(c) <= 40 and c not in self.known})
 
     def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        chunks = _chunks(text)
         try:
             return b"".join(map(self.known.__getitem__, chunks))
         except KeyError:
             pass
-        if len(self.known) > self.room:
-            self.known = {"": b""}
+        self._make_room()
         new = {c for c in chunks if c not in self.known}
         long = {c for c in new if len(c) > 40}
         self._learn(new - long)
-        if not long:
-            return b"".join(map(self.known.__getitem__, chunks))
         own = dict(zip(long, self._encode(list(long))))
         return b"".join([own[c] if c in own else self.known[c] for c in chunks])
 
-    def learn(self, texts: list[str]) -> None:
-        """Meet the chunks of several texts together, which spares calls."""
-        if len(self.known) > self.room:
-            self.known = {"": b""}
-        new: set[str] = set()
-        for text in texts:
-            new.update(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-        self._learn({c for c in new if len(c) <= 40 and c not in self.known})
+
+def _chunks(text: str) -> list[str]:
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
 def encoder(path: str) -> ChunkEncoder:
