@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import frames, packing, seed_extend, simhash, suffix_dedup
+from tallyguard.llm import frames, imatch, packing, seed_extend, simhash, suffix_dedup
 from tallyguard.llm.common import documents
 from tallyguard.plans.scratch import scratch_path
 
@@ -43,6 +43,19 @@ def op9_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    rows = imatch.fingerprints(documents(spark, folder))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        imatch.fingerprint_text("fingerprint").alias("fingerprint"),
+        imatch.fingerprint_text("edited_fingerprint").alias("edited_fingerprint"),
+        imatch.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        imatch.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "ids")
     frames.write_ids(documents(spark, folder), target)
@@ -57,6 +70,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_imatch": op3_imatch,
     "op7_token_files": op7_token_files,
     "op9_seed_extend": op9_seed_extend,
     "op10_simhash": op10_simhash,
