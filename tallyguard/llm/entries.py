@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import frames, imatch, packing, seed_extend, simhash, suffix_dedup
+from tallyguard.llm import decontaminate, frames, imatch, language, packing, seed_extend, simhash, suffix_dedup
 from tallyguard.llm.common import documents
 from tallyguard.plans.scratch import scratch_path
 
@@ -36,6 +36,11 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    rows = language.from_documents(documents(spark, folder), F.col("doc_id").cast("long").alias("doc_id"))
+    return language.identify(rows).select("doc_id", "declared", "host", "language", F.round("posterior", 6).alias("posterior"), "accepted")
+
+
 def op9_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
     rows = seed_extend.remove_repeated_words(documents(spark, folder), length=35)
     return rows.select(
@@ -56,6 +61,13 @@ def op3_imatch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.retrieve(documents(spark, folder), items).filter("confirmed")
+    scores = [F.round(c, 6).alias(c) for c in ("score", "share", "question_overlap", "answer_overlap")]
+    return found.select("doc_id", "item_id", *scores, "first_word")
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "ids")
     frames.write_ids(documents(spark, folder), target)
@@ -71,7 +83,9 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_imatch": op3_imatch,
+    "op4_decontamination": op4_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_language_id": op8_language_id,
     "op9_seed_extend": op9_seed_extend,
     "op10_simhash": op10_simhash,
 }
