@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import decontaminate, frames, imatch, language, packing, seed_extend, simhash, suffix_dedup
+from tallyguard.llm import decontaminate, frames, imatch, language, licenses, packing, seed_extend, simhash, suffix_dedup
 from tallyguard.llm.common import documents
 from tallyguard.plans.scratch import scratch_path
 
@@ -68,6 +68,25 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", *scores, "first_word")
 
 
+def _joined(labels: Column) -> Column:
+    return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    rows = licenses.scan(documents(spark, folder))
+    base, first = F.col("places.label"), F.col("places.first")
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"),
+        _joined(base).alias("base_labels"),
+        _joined(F.concat(base, F.col("matches.label"))).alias("labels"),
+        F.when(F.size("matches") > 0, 1.0).when(F.size("places") > 0, 0.5).otherwise(0.0).alias("score"),
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "ids")
     frames.write_ids(documents(spark, folder), target)
@@ -84,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_imatch": op3_imatch,
     "op4_decontamination": op4_decontamination,
+    "op5_licenses": op5_licenses,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
     "op9_seed_extend": op9_seed_extend,
