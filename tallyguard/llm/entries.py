@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import decontaminate, frames, imatch, language, licenses, packing, seed_extend, simhash, suffix_dedup
+from tallyguard.llm import decontaminate, frames, imatch, language, licenses, packing, secret_scan, seed_extend, simhash, suffix_dedup
 from tallyguard.llm.common import documents
 from tallyguard.plans.scratch import scratch_path
 
@@ -87,6 +87,27 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _kind(name: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long")
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secret_scan.scan(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return rows.select(
+        "doc_id",
+        _kind("assign").alias("n_assign"),
+        _kind("access").alias("n_access"),
+        _kind("hex").alias("n_hex"),
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "ids")
     frames.write_ids(documents(spark, folder), target)
@@ -104,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op3_imatch": op3_imatch,
     "op4_decontamination": op4_decontamination,
     "op5_licenses": op5_licenses,
+    "op6_secrets": op6_secrets,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
     "op9_seed_extend": op9_seed_extend,
