@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.llm import decontaminate, frames, imatch, language, licenses, packing, secret_scan, seed_extend, simhash, suffix_dedup
 from tallyguard.llm.common import documents
+from tallyguard.llm.oracle import SQL  # noqa: F401 - part of what this module offers
 from tallyguard.plans.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,5 +132,3 @@ QUERIES: dict[str, Query] = {
     "op9_seed_extend": op9_seed_extend,
     "op10_simhash": op10_simhash,
 }
-
-SQL: dict[str, str] = {}

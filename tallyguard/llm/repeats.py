@@ -108,7 +108,8 @@ def _records(text: str, refs: np.ndarray | None, spec: Repeats, step: int, only_
     data, starts, hashes = units_of(text, spec.units)
     n, length = len(hashes), spec.length
     if n < length:
-        return [], [], []
+        none = np.zeros(0, np.uint64)
+        return none.astype(np.int64), none, none
     if refs is None:
         place, first, last = anchors(hashes, length, spec.gram)
         near, far = place - last, place - first
@@ -126,15 +127,21 @@ def _records(text: str, refs: np.ndarray | None, spec: Repeats, step: int, only_
     if starts is not None:
         lo, hi, low, high = starts[lo], starts[hi], starts[low], starts[high]
     digest = xxhash.xxh3_64_intdigest
-    # the same bytes at two distances belong to two anchors of one place
-    core = [digest(data[a:b], c) for a, b, c in zip(lo.tolist(), hi.tolist(), x0.tolist())]
+    # the same bytes at two distances belong to two anchors of one place, so the distance is part of the hash
+    core = _mixed([digest(data[a:b]) for a, b in zip(lo.tolist(), hi.tolist())], x0)
     if only_core:
         return None, core, None
-    # what is cut off at a text's ends seeds the hash, so that clipped blocks differ from whole ones
-    block = [digest(data[a:b], 1 + c) for a, b, c in zip(low.tolist(), high.tolist(), clip.tolist())]
+    # and so is what is cut off at a text's ends
+    block = _mixed([digest(data[a:b], 1) for a, b in zip(low.tolist(), high.tolist())], clip)
     return (place << (2 * FIELD)) | (near << FIELD) | far, core, block
 
 
+def _mixed(hashes: list[int], with_: np.ndarray) -> np.ndarray:
+    mixed = np.array(hashes, np.uint64) + with_.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
 def _hashes(spec: Repeats, step: int, only_core: bool):
     def run(batches):
         for batch in batches:
@@ -144,20 +151,20 @@ def _hashes(spec: Repeats, step: int, only_core: bool):
                 k1, k2 = (part.column(names.index(k)).to_numpy() for k in ("k1", "k2"))
                 texts = part.column(names.index("text")).to_pylist()
                 refs = part.column(names.index("refs")).to_pylist() if "refs" in names else [None] * len(texts)
-                ref, core, block, row = [np.zeros(0, np.int64)], [], [], []
+                ref, core, block, row = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], []
                 for i, (text, own) in enumerate(zip(texts, refs)):
                     r, c, b = _records(text, None if own is None else np.array(own, np.int64), spec, step, only_core)
-                    core += c
+                    core.append(c)
                     if not only_core:
-                        ref.append(np.asarray(r, np.int64))
-                        block += b
+                        ref.append(r)
+                        block.append(b)
                         row += [i] * len(c)
-                core = pa.array(np.array(core, np.uint64).view(np.int64))
+                core = pa.array(np.concatenate(core).view(np.int64))
                 if only_core:
                     yield pa.RecordBatch.from_arrays([core], ["core"])
                 else:
                     columns = [k1[row] if row else k1[:0], k2[row] if row else k2[:0], np.concatenate(ref), core]
-                    columns.append(np.array(block, np.uint64).view(np.int64))
+                    columns.append(np.concatenate(block).view(np.int64))
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in RECORD.split(", ")])
 
     return run
@@ -192,11 +199,8 @@ def repeated_runs(docs: DataFrame, spec: Repeats) -> DataFrame:
             cores = live.mapInArrow(_hashes(spec, step, True), "core long")
         twice = cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
         kept = write_once(records.join(twice, "core", "left_semi"), "repeated")
-        if step == 1:
-            found = kept.withColumn("whole", F.lit(True))
-        else:
-            blocks = write_once(_again(kept, "core", "block").withColumn("whole", F.lit(True)), "blocks")
-            found = write_once(kept.join(blocks.drop("one"), ["core", "block"], "left").drop("block"), "settled")
+        blocks = write_once(_again(kept, "core", "block").withColumn("whole", F.lit(True)), "blocks")
+        found = write_once(kept.join(blocks.drop("one"), ["core", "block"], "left").drop("block"), "settled")
         far = F.col("ref").bitwiseAND((1 << FIELD) - 1)
         near = F.shiftrightunsigned("ref", FIELD).bitwiseAND((1 << FIELD) - 1)
         place = F.shiftrightunsigned("ref", 2 * FIELD)

@@ -21,4 +21,5 @@ from tallyguard.llm.repeats import Repeats, without_repeats
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 400, gram: int = 64) -> DataFrame:
     """``doc_id``, ``units`` (bytes), removed ``spans`` and ``kept`` bytes of every row."""
-    return without_repeats(docs, Repeats("bytes", length, gram, (length - gram + 1, 24, 1)))
+    widest = length - gram + 1
+    return without_repeats(docs, Repeats("bytes", length, gram, (widest, 24, 1) if widest > 24 else (widest, 1)))
