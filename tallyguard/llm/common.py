@@ -41,6 +41,20 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return keyed.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
 
 
+def rows_chosen(docs: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+    """``docs`` with all its columns, joined ``how`` (left_semi, left_anti) with ``doc_id``, ``key`` of ``chosen``."""
+    names = []
+    for name in ("_id", "_key", "_chosen_id", "_chosen_key"):
+        while name in docs.columns:
+            name = f"_{name}"
+        names.append(name)
+    own_id, own_key, id_, key = names
+    named = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_key: text_key(F.coalesce("text", F.lit("")))})
+    chosen = chosen.select(F.col("doc_id").alias(id_), F.col("key").alias(key)).distinct()
+    same = named[own_id].eqNullSafe(chosen[id_]) & (named[own_key] == chosen[key])
+    return named.join(chosen, same, how).drop(own_id, own_key)
+
+
 def file_system(uri: str):
     """The file system of a folder and the folder's path there, on any machine that reaches the folder."""
     from pyarrow import fs

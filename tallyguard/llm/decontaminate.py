@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import plain, text_key
+from tallyguard.llm.common import plain, rows_chosen, text_key
 
 SCHEMA = (
     "doc_id long, key binary, item_id long, score double, share double, question_overlap double, "
@@ -263,7 +263,4 @@ def retrieve(
 
 def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` with all columns, without those that hold a confirmed item."""
-    bad = retrieve(docs, items, **options).filter("confirmed").select(F.col("doc_id").alias("_bad_id"), F.col("key").alias("_bad_key"))
-    named = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": text_key(F.coalesce("text", F.lit("")))})
-    same = named["_id"].eqNullSafe(bad["_bad_id"]) & (named["_key"] == bad["_bad_key"])
-    return named.join(bad.distinct(), same, "left_anti").drop("_id", "_key")
+    return rows_chosen(docs, retrieve(docs, items, **options).filter("confirmed"), "left_anti")

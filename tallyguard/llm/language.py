@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import text_key
+from tallyguard.llm.common import rows_chosen, text_key
 from tallyguard.plans.scratch import write_once
 
 BUCKETS = 1 << 16
@@ -102,6 +102,11 @@ def _counts(size: int) -> Column:
     return F.array(*[F.sum(F.when(F.col("reads") == i, 1.0).otherwise(0.0)) for i in range(size)])
 
 
+def _without_own(counts: str) -> Column:
+    """Counts of the languages that the other texts read as."""
+    return F.transform(counts, lambda n, i: n - F.when(i == F.col("reads"), 1.0).otherwise(0.0))
+
+
 def _smoothed(counts: Column, parent: Column, strength: float) -> Column:
     total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
     return F.zip_with(counts, parent, lambda n, p: (n + strength * p) / (total + strength))
@@ -149,13 +154,13 @@ def identify(
     said = rows.groupBy("declared").agg(_counts(size).alias("said")).withColumnRenamed("declared", "_declared")
     said = write_once(said, "declared")
     seen = said.agg(F.count(F.lit(1)), *[F.sum(F.col("said")[i]) for i in range(size)]).first()
-    known = F.array(*[F.lit(float(x or 0) + 0.5 * seen[0]) for x in seen[1:]])
-    said = said.select("_declared", F.zip_with("said", known, lambda n, k: F.log((n + 0.5) / k)).alias("said"))
+    half, known = 0.5 * seen[0], F.array(*[F.lit(float(x or 0)) for x in seen[1:]])
+    said = said.withColumn("known", known)
     rows = rows.join(priors, rows["suffix"].eqNullSafe(priors["_suffix"]) & rows["host"].eqNullSafe(priors["_host"]))
     rows = rows.join(said, rows["declared"].eqNullSafe(said["_declared"]))
-    others_counts = F.transform("counts", lambda n, i: n - F.when(i == F.col("reads"), 1.0).otherwise(0.0))
-    prior = F.transform(_smoothed(others_counts, F.col("parent"), strength), lambda p: F.log(p))
-    fused = F.zip_with(F.zip_with("loglik", "said", lambda a, b: a * temper + b), prior, lambda a, b: a + b)
+    prior = F.transform(_smoothed(_without_own("counts"), F.col("parent"), strength), lambda p: F.log(p))
+    declared = F.zip_with(_without_own("said"), _without_own("known"), lambda n, k: F.log((n + 0.5) / (k + half)))
+    fused = F.zip_with(F.zip_with("loglik", declared, lambda a, b: a * temper + b), prior, lambda a, b: a + b)
     rows = rows.withColumn("fused", fused).withColumn("top", F.array_max("fused"))
     total = F.aggregate("fused", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     posterior = 1.0 / total
@@ -188,8 +193,5 @@ def from_pages(pages: DataFrame, *others: Column | str) -> DataFrame:
 def keep_identified(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all columns, without the rows whose language is rejected."""
     id_, key = F.col("doc_id").cast("long"), text_key(F.coalesce("text", F.lit("")))
-    found = identify(from_documents(docs, id_.alias("_id"), key.alias("_key")), **options)
-    bad = found.filter("NOT accepted").select(F.col("_id").alias("_bad_id"), F.col("_key").alias("_bad_key")).distinct()
-    named = docs.withColumns({"_id": id_, "_key": key})
-    same = named["_id"].eqNullSafe(bad["_bad_id"]) & (named["_key"] == bad["_bad_key"])
-    return named.join(bad, same, "left_anti").drop("_id", "_key")
+    found = identify(from_documents(docs, id_.alias("doc_id"), key.alias("key")), **options)
+    return rows_chosen(docs, found.filter("NOT accepted"), "left_anti")

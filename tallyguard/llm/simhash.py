@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import plain, text_key
+from tallyguard.llm.common import plain, rows_chosen, text_key
 from tallyguard.plans.scratch import write_once
 
 SEED = 42
@@ -221,7 +221,5 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """``docs`` with all columns, one row of each group: the one with the smallest doc_id, nulls last."""
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
     kept = near_duplicates(docs, shingle, distance).groupBy("root").agg(F.min(order).alias("row"))
-    kept = kept.select(F.col("row.doc_id").alias("_kept_id"), F.col("row.key").alias("_kept_key"))
-    named = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": text_key(F.coalesce("text", F.lit("")))})
-    same = named["_id"].eqNullSafe(kept["_kept_id"]) & (named["_key"] == kept["_kept_key"])
-    return named.join(kept, same, "left_semi").dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    kept = rows_chosen(docs, kept.select("row.doc_id", "row.key"), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])  # of rows with one doc_id and one text, one

@@ -281,6 +281,6 @@ def test_language_of_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     evidence = language.from_pages(pages, "page_id")
     first = evidence.orderBy("page_id").first()
-    assert "<" not in first.text and first.host.endswith("example.com") and first.suffix == "com"
+    assert "<p" not in first.text and first.host.split(".")[-2:] == ["example", first.suffix]
     found = language.identify(evidence).collect()
     assert len(found) == pages.count() and np.mean([r.accepted for r in found]) > 0.9
