@@ -25,8 +25,6 @@ from tallyguard.plans.scratch import write_once
 # the functions of this module travel to the executors as code, which need not have the package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: rows that all trees draw their samples from, at least while the ledger has that many
-POOL_ROWS = 16_384
 _HASH_RANGE = float(2**63)
 _EULER = 0.5772156649015329
 
@@ -134,20 +132,21 @@ def _unit_hash(*columns: Column) -> Column:
 def _tree_samples(df: DataFrame, id_col: str, rows: int, config: AuditConfig) -> DataFrame:
     """(tree, row) pairs: ``forest_sample`` rows per tree without replacement, or all rows if there are fewer.
 
-    A hash cut first thins the ledger to a pool whose size does not grow with the ledger, so the per-tree
-    hashes are evaluated on the pool only.
+    Every tree draws from all rows. Each row has one uniform place on a circle, and tree ``t`` of ``T`` looks at the
+    arc that starts at ``t / T`` and holds four times the rows it needs on average, so which trees look at a row
+    follows by arithmetic. Of its candidates a tree takes those with the lowest hash of its own.
     """
-    seed, sample = config.forest_seed, config.forest_sample
-    pool_share = min(1.0, 2.0 * POOL_ROWS / rows)
-    pool = write_once(df.where(_unit_hash(F.lit(seed), F.col(id_col)) < pool_share), "pool")
-    # four times the expected need; the binomial tail below the need is out of reach for samples of this size
-    pool_rows = max(1, pool.count())
-    tree_share = min(1.0, 4.0 * sample / pool_rows)
-    numbers = F.sequence(F.lit(0), F.lit(config.forest_trees - 1))
-    chosen = F.filter(numbers, lambda t: _unit_hash(F.lit(seed), t, F.col(id_col)) < tree_share)
-    candidates = pool.withColumn("tree", F.explode(chosen)).withColumn(
-        "_draw", _unit_hash(F.lit(seed), F.col("tree"), F.col(id_col))
+    seed, sample, trees = config.forest_seed, config.forest_sample, config.forest_trees
+    share = min(1.0, 4.0 * sample / rows)
+    place = _unit_hash(F.lit(seed), F.col(id_col)) * trees
+    # trees whose arc [t, t + share * T) holds the place, on the circle: at most T of them
+    last = F.floor(place).cast("long")
+    first = F.greatest(F.ceil(place - share * trees).cast("long"), last - (trees - 1))
+    looking = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
+    candidates = df.withColumn("tree", F.explode(looking)).withColumn(
+        "tree", F.pmod(F.col("tree"), F.lit(trees)).cast("int")
     )
+    candidates = candidates.withColumn("_draw", _unit_hash(F.lit(seed), F.col("tree"), F.col(id_col)))
     lowest = Window.partitionBy("tree").orderBy("_draw", id_col)
     return (
         candidates.withColumn("_place", F.row_number().over(lowest))
@@ -198,6 +197,8 @@ def fit_forest(df: DataFrame, id_col: str = "transaction_id", config: AuditConfi
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(id_col)
         tree = int(key[0])
+        if len(rows) != sample_rows:  # out of reach for samples of this size; scores would be off
+            raise ValueError(f"tree {tree} drew {len(rows)} of {sample_rows} rows")
         parts = _grow(rows[list(features)].to_numpy(dtype=np.float64), seed, tree, depth_limit)
         names = ("feature", "threshold", "left", "path")
         return pd.DataFrame({"tree": [tree], **{name: [part] for name, part in zip(names, parts)}})

@@ -63,7 +63,10 @@ def slice_ledger(
     vendors: Sequence[str] = (),
     tiers: Sequence[str] = (),
 ) -> DataFrame:
-    """Report slicers and drill-through filters; an empty list keeps everything. Filters reach the scan."""
+    """Report slicers and drill-through filters; an empty list keeps everything.
+
+    All but the quarter are plain comparisons of stored columns, which reach the scan; years become date ranges.
+    """
     by_column = {
         "department": departments,
         "primary_flag_reason": reasons,
@@ -75,7 +78,10 @@ def slice_ledger(
         if wanted:
             df = df.where(F.col(name).isin(*wanted))
     if years:
-        df = df.where(F.year("transaction_date").isin(*years))
+        day, spans = F.col("transaction_date"), F.lit(False)
+        for year in years:
+            spans = spans | ((day >= F.lit(f"{year}-01-01").cast("date")) & (day <= F.lit(f"{year}-12-31").cast("date")))
+        df = df.where(spans)
     if quarters:
         df = df.where(F.quarter("transaction_date").isin(*quarters))
     return df

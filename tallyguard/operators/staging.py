@@ -17,6 +17,13 @@ from tallyguard.plans.small_side import attach_group_values
 ARRIVAL = ("ingest_seq", "amount", "transaction_date")
 
 
+def arrival_order(raw: DataFrame) -> tuple[str, ...]:
+    """The order in which a feed's rows arrived: file, then row, where the feed knows its files."""
+    if "ingest_seq" not in raw.columns:
+        raise ValueError("the feed has no arrival ordinal: name the columns that order it")
+    return ("source_file", *ARRIVAL) if "source_file" in raw.columns else ARRIVAL
+
+
 def dedup_first(df: DataFrame, key: str = "transaction_id", order: tuple[str, ...] = ARRIVAL) -> DataFrame:
     """Keep the first row per key by ``order``.
 
@@ -60,8 +67,15 @@ _REQUIRED_SOURCES = (
 )
 
 
-def _first_arrivals(raw: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Deduplicated feed with the amount as a number and the date as a date."""
+def _first_arrivals(raw: DataFrame, order: tuple[str, ...] | None) -> DataFrame:
+    """Deduplicated feed with the amount as a number and the date as a date.
+
+    Without a named ``order`` arrival decides, and a row without its ordinal is an error.
+    """
+    if order is None:
+        order = arrival_order(raw)
+        missing = F.raise_error(F.lit("a row has no arrival ordinal: name the columns that order the feed"))
+        raw = raw.withColumn("ingest_seq", F.coalesce("ingest_seq", missing.cast("long")))
     day = calendar.parse_date(F.col("transaction_date").cast("string"))
     return dedup_first(raw, order=order).withColumns({"_amount": _amount(raw), "_day": day})
 
@@ -100,7 +114,7 @@ def _cleansed() -> list[Column]:
     ]
 
 
-def stage(raw: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
+def stage(raw: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
     """The staged ledger.
 
     Deduplication comes first, so an id whose first arrival has no positive amount is gone altogether. The
@@ -109,7 +123,7 @@ def stage(raw: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
     return _first_arrivals(raw, order).where((F.col("_amount") > 0) & _complete()).select(*_cleansed())
 
 
-def quarantine(raw: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
+def quarantine(raw: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
     """First arrivals that could not be staged for lack of a required value, with the columns at fault.
 
     Rows without any amount, or with one that is not positive, are dropped by rule and do not show here.

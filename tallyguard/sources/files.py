@@ -9,26 +9,30 @@ from pyspark.sql.types import StructType
 from tallyguard import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header. Blank cells are null; quotes inside quoted text are doubled."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header. Blank cells are null; quotes inside quoted text are doubled.
+
+    ``multi_line`` reads quoted cells with line breaks; a file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
 
 
-def read_ledger_csv(spark: SparkSession, path: str, arrival: bool = True) -> DataFrame:
+def read_ledger_csv(spark: SparkSession, path: str, arrival: bool = True, multi_line: bool = False) -> DataFrame:
     """The raw feed. With ``arrival`` the files carry ``ingest_seq`` as last column.
 
     CSV rows have no position that survives a distributed read, so a feed without the ordinal gets a null
-    one and the caller has to name other tie-break columns when deduplicating.
+    one; staging then fails unless the caller names the columns that order the feed.
     """
     if arrival:
-        return read_csv(spark, path, schemas.RAW_LEDGER_TEXT)
-    feed = read_csv(spark, path, schemas.RAW_FEED)
+        return read_csv(spark, path, schemas.RAW_LEDGER_TEXT, multi_line)
+    feed = read_csv(spark, path, schemas.RAW_FEED, multi_line)
     return feed.withColumn("ingest_seq", F.lit(None).cast("long"))
 
 
@@ -36,9 +40,9 @@ def read_vendor_master(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.VENDOR_MASTER)
 
 
-def read_ledger_parquet(spark: SparkSession, path: str) -> DataFrame:
+def read_ledger_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A Parquet feed without an ordinal: arrival is file order, then row position in the file."""
-    feed = spark.read.parquet(path)
+    feed = spark.read.parquet(*([path] if isinstance(path, str) else path))
     if "ingest_seq" in feed.columns:
         return feed
     return feed.select(

@@ -9,26 +9,25 @@ from tallyguard import schemas
 from tallyguard.sources.perturb import KINDS, Label, perturb
 
 
-def order_lines(tables: dict[str, DataFrame], spread: int | None = None) -> DataFrame:
+def order_lines(tables: dict[str, DataFrame]) -> DataFrame:
     """Order lines as ledger rows, before any label is planted.
 
     Customer joins the orders first, so that the large join carries two small strings. No side is hinted:
-    Spark broadcasts by measured size and splits skewed partitions of the shuffle joins. ``spread``
-    redistributes the joined rows of a small input over that many tasks before the text columns are built.
+    Spark broadcasts by measured size and splits skewed partitions of the shuffle joins. A line whose order,
+    customer or supplier is missing stays, with nulls, for the quarantine to report.
     """
     buyers = tables["orders"].join(
-        tables["customer"].select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")
+        tables["customer"].select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"), "left"
     )
     rows = (
         tables["lineitem"]
         .join(
             buyers.select("o_orderkey", "o_custkey", "o_orderpriority", "c_mktsegment"),
             F.col("l_orderkey") == F.col("o_orderkey"),
+            "left",
         )
-        .join(tables["supplier"].select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(tables["supplier"].select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
-    if spread:
-        rows = rows.repartition(spread)
     line_key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     currency = (
         F.when(F.col("o_custkey") % 20 == 0, F.lit(""))
@@ -66,11 +65,9 @@ def order_lines(tables: dict[str, DataFrame], spread: int | None = None) -> Data
     )
 
 
-def derive_ledger(
-    tables: dict[str, DataFrame], kinds: tuple[Label, ...] = KINDS, spread: int | None = None
-) -> DataFrame:
+def derive_ledger(tables: dict[str, DataFrame], kinds: tuple[Label, ...] = KINDS) -> DataFrame:
     """Raw ledger with labelled perturbations, in the canonical schema."""
-    rows = perturb(order_lines(tables, spread), kinds)
+    rows = perturb(order_lines(tables), kinds)
     return rows.select(
         *[F.col(field.name).cast(field.dataType).alias(field.name) for field in schemas.RAW_LEDGER]
     )
@@ -106,15 +103,8 @@ LEDGER_TABLES = ("lineitem", "orders", "customer", "supplier")
 
 
 def load_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """The ledger of a folder of source tables.
-
-    An input of a few megabytes comes in fewer splits than there are cores; its rows are then spread over the
-    cores. Larger inputs keep the splits they have.
-    """
-    tables = load_tables(spark, folder, LEDGER_TABLES)
-    cores = spark.sparkContext.defaultParallelism
-    small = tables["lineitem"].rdd.getNumPartitions() < cores
-    return derive_ledger(tables, spread=cores if small else None)
+    """The ledger of a folder of source tables."""
+    return derive_ledger(load_tables(spark, folder, LEDGER_TABLES))
 
 
 def vendor_master_from(supplier: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from tallyguard.operators.features import add_features
 from tallyguard.operators.forest import Calibration, Forest, path_score, with_verdict
 from tallyguard.operators.rules import DUPLICATE_KEY, with_row_rules
 from tallyguard.operators.staging import dedup_first
-from tallyguard.plans.scratch import scratch_path
+from tallyguard.plans.scratch import scratch_path, write_once
 from tallyguard.plans.small_side import bounded
 
 
@@ -93,49 +93,71 @@ def first_within(stream: DataFrame, lateness: str = "4 days", key: list[str] | N
     """Let through one row per (vendor, invoice, amount) as long as the state remembers it.
 
     State is bounded by the watermark, so a copy that comes later than ``lateness`` is let through too;
-    ``release_or_block`` has no such limit.
+    ``release_or_block`` has no such limit. A row that lacks a part of the key, such as one without an invoice,
+    equals no other and passes around the state.
     """
-    return stream.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(key or DUPLICATE_KEY)
+    key = key or DUPLICATE_KEY
+    whole = F.lit(True)
+    for name in key:
+        whole = whole & F.col(name).isNotNull()
+    timed = stream.withWatermark("event_time", lateness)
+    return timed.where(whole).dropDuplicatesWithinWatermark(key).unionByName(timed.where(~whole))
+
+
+#: folders of released keys by hash; a batch reads those that its own keys fall into
+KEY_BUCKETS = 256
+
+
+def _key_bucket() -> Column:
+    return F.pmod(F.hash(*DUPLICATE_KEY), F.lit(KEY_BUCKETS)).cast("int")
 
 
 def decide_batch(batch: DataFrame, released: DataFrame | None, order: tuple[str, ...] = ("event_time", "transaction_id")) -> DataFrame:
-    """``released`` or ``blocked`` for every row of a batch, given the rows released before.
+    """``released`` or ``blocked`` for every row of a batch, given the keys released before.
 
-    Of each (vendor, invoice, amount) the first row is released, unless one was released earlier. A row
-    without an invoice is always released. Each key is cut to one row per task before the shuffle.
+    Of each (vendor, invoice, amount) exactly one row, the first, is released, unless one was released earlier; a
+    row sent again under the same id is a row of its own. A row that lacks a part of the key is always released. Each
+    key is cut to one row per task before the shuffle, and verdicts meet their rows by a number that is unique.
     """
-    billed = batch.where(F.col("invoice_number").isNotNull())
-    columns = dict.fromkeys(["transaction_id", *order, *DUPLICATE_KEY])
-    packed = billed.select(*columns).withColumn("_key", F.struct(*DUPLICATE_KEY))
-    winners = dedup_first(packed, key="_key", order=order).drop("_key")
+    numbered = write_once(batch.withColumn("_row", F.monotonically_increasing_id()), "batch")
+    whole = F.lit(True)
+    for name in DUPLICATE_KEY:
+        whole = whole & F.col(name).isNotNull()
+    columns = dict.fromkeys(["_row", *order, *DUPLICATE_KEY])
+    packed = numbered.where(whole).select(*columns).withColumn("_key", F.struct(*DUPLICATE_KEY))
+    winners = dedup_first(packed, key="_key", order=(*order, "_row")).drop("_key")
     if released is not None:
         winners = winners.join(released.select(*DUPLICATE_KEY), DUPLICATE_KEY, "left_anti")
-    chosen = winners.select("transaction_id", F.lit("released").alias("_verdict"))
-    verdict = F.when(F.col("invoice_number").isNull(), F.lit("released")).otherwise(
-        F.coalesce(F.col("_verdict"), F.lit("blocked"))
-    )
-    return batch.join(chosen, "transaction_id", "left").withColumn("decision", verdict).drop("_verdict")
+    chosen = winners.select("_row", F.lit("released").alias("_verdict"))
+    verdict = F.when(~whole, F.lit("released")).otherwise(F.coalesce(F.col("_verdict"), F.lit("blocked")))
+    return numbered.join(chosen, "_row", "left").withColumn("decision", verdict).drop("_verdict", "_row")
 
 
 def release_or_block(stream: DataFrame, target: str | None = None) -> DataFrame:
     """Pre-payment duplicate block over everything that is there now; returns all rows with a decision.
 
     Every micro-batch is a folder below ``target``, and a repeated batch overwrites its folder, so a restart
-    does not count a row twice. Earlier batches are read back from there, also those of an earlier run with
-    the same ``target``.
+    does not count a row twice. What is kept for later batches are the released keys alone, in folders by hash of
+    the key; a batch reads only the folders its own keys fall into, also those of an earlier run with the same
+    ``target``.
     """
     spark = stream.sparkSession
     target = target or scratch_path(spark, "payments")
-    rows = f"{target}/rows"
+    rows, keys = f"{target}/rows", f"{target}/keys"
     decided = StructType.fromJson(stream.schema.jsonValue()).add("decision", "string")
     stored = StructType.fromJson(decided.jsonValue()).add("batch", "integer")
+    kept = StructType([stream.schema[name] for name in DUPLICATE_KEY]).add("batch", "integer").add("bucket", "integer")
 
     def handle(batch: DataFrame, number: int) -> None:
         released = None
         if number > 0:
-            before = batch.sparkSession.read.schema(stored).parquet(rows).where(F.col("batch") < number)
-            released = before.where((F.col("decision") == "released") & F.col("invoice_number").isNotNull())
+            touched = [r["bucket"] for r in batch.select(_key_bucket().alias("bucket")).distinct().collect()]  # few
+            before = batch.sparkSession.read.schema(kept).parquet(keys)
+            released = before.where((F.col("batch") < number) & F.col("bucket").isin(*touched))
         decide_batch(batch, released).select(*decided.names).write.mode("overwrite").parquet(f"{rows}/batch={number}")
+        done = batch.sparkSession.read.schema(decided).parquet(f"{rows}/batch={number}").where("decision = 'released'")
+        done = done.select(*DUPLICATE_KEY).na.drop().withColumn("bucket", _key_bucket())
+        done.write.mode("overwrite").partitionBy("bucket").parquet(f"{keys}/batch={number}")
 
     query = (
         stream.writeStream.foreachBatch(handle)

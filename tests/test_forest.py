@@ -63,8 +63,22 @@ def test_saved_forest_scores_alike(spark, featured, grown, tmp_path):
     assert pair.where("a <> b").count() == 0
 
 
-def test_pool_is_a_sample_of_large_ledgers(spark, monkeypatch):
-    monkeypatch.setattr(forest, "POOL_ROWS", 500)
+@pytest.mark.parametrize("rows", [300, 2_000, 60_000])
+def test_trees_draw_from_all_rows(spark, rows):
+    frame = spark.range(rows).select(F.concat(F.lit("T"), "id").alias("transaction_id"), "id")
+    drawn = forest._tree_samples(frame, "transaction_id", rows, DEFAULT)
+    sizes = {r["tree"]: r["count"] for r in drawn.groupBy("tree").count().collect()}
+    need = min(rows, DEFAULT.forest_sample)
+    assert sizes == dict.fromkeys(range(DEFAULT.forest_trees), need)
+    assert drawn.distinct().count() == drawn.count()
+    used = drawn.select("id").distinct()
+    if rows > 40_000:  # far more than a pool: the trees hardly share rows, and come from the whole range
+        assert used.count() > 0.7 * need * DEFAULT.forest_trees
+        tenths = used.groupBy((F.col("id") * 10 / rows).cast("int").alias("k")).count().collect()
+        assert len(tenths) == 10 and max(t["count"] for t in tenths) < 1.2 * min(t["count"] for t in tenths)
+
+
+def test_large_ledgers(spark):
     rows = spark.range(20_000).select(
         F.concat(F.lit("T"), "id").alias("transaction_id"),
         *[(F.xxhash64("id", F.lit(k)) % 1000).cast("double").alias(name) for k, name in enumerate(DEFAULT.features)],

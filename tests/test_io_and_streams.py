@@ -26,11 +26,38 @@ def test_feed_without_ordinal(spark, raw_rows, tmp_path):
     raw = raw_rows({"transaction_id": "A", "amount": 2.0}, {"transaction_id": "A", "amount": 1.0}).drop("ingest_seq")
     raw.coalesce(1).write.parquet(str(tmp_path / "feed"))
     feed = files.read_ledger_parquet(spark, str(tmp_path / "feed"))
-    staged = staging.stage(feed, order=("source_file", "ingest_seq"))
-    assert [r["amount"] for r in staged.collect()] == [2.0]
+    assert [r["amount"] for r in staging.stage(feed).collect()] == [2.0]
     files.write_csv(raw, str(tmp_path / "csv"), single_file=True)
     plain = files.read_ledger_csv(spark, str(tmp_path / "csv"), arrival=False)
     assert plain.where("ingest_seq is null").count() == 2
+    with pytest.raises(Exception, match="no arrival ordinal"):
+        staging.stage(plain).collect()
+    assert [r["amount"] for r in staging.stage(plain, order=("amount",)).collect()] == [1.0]
+    with pytest.raises(ValueError, match="no arrival ordinal"):
+        staging.stage(raw)
+
+
+def test_files_come_before_rows(spark, raw_rows, tmp_path):
+    """Of an id in two files, the one in the earlier file arrived first, whatever its row."""
+    for name, rows in (("a", [{"transaction_id": "B"}, {"transaction_id": "A", "amount": 100.0}]), ("b", [{"transaction_id": "A", "amount": 999.0}])):
+        raw_rows(*rows).drop("ingest_seq").coalesce(1).write.parquet(str(tmp_path / name))
+    feed = files.read_ledger_parquet(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert {r["transaction_id"]: r["amount"] for r in staging.stage(feed).collect()}["A"] == 100.0
+
+
+def test_cells_with_line_breaks(spark, raw_rows, tmp_path):
+    files.write_csv(raw_rows({"description": "two\nlines"}, {}), str(tmp_path / "feed"))
+    assert files.read_ledger_csv(spark, str(tmp_path / "feed"), multi_line=True).count() == 2
+
+
+def test_lines_with_orphan_keys_stay(spark):
+    tables = ledger.load_tables(spark, SMALL, ledger.LEDGER_TABLES)
+    missing = {**tables, "supplier": tables["supplier"].where("s_suppkey > 3"), "customer": tables["customer"].where("c_custkey % 5 > 0")}
+    whole, raw = ledger.derive_ledger(tables, ()), ledger.derive_ledger(missing, ())
+    assert raw.count() == whole.count()
+    staged, held = staging.stage(raw).count(), staging.quarantine(raw)
+    assert held.count() > 0 and staged + held.count() == staging.stage(whole).count() + staging.quarantine(whole).count()
+    assert {"vendor_name", "department"} <= {c for r in held.collect() for c in r["missing_columns"].split(",")}
 
 
 def test_missing_input_raises(spark, tmp_path):
@@ -127,6 +154,24 @@ def test_missing_invoices_are_released(spark, payments):
     assert {r["decision"] for r in controls.decide_batch(batch, None).collect()} == {"released"}
 
 
+def test_an_id_sent_twice_is_released_once(spark):
+    rows = [("T1", 1, "V", "I", 5.0), ("T1", 1, "V", "I", 5.0), ("T2", 2, "V", "I", 5.0), (None, 3, "V", "J", 5.0)]
+    batch = spark.createDataFrame(rows, "transaction_id string, event_time int, vendor_id string, invoice_number string, amount double")
+    decided = sorted((r["transaction_id"] or "", r["decision"]) for r in controls.decide_batch(batch, None).collect())
+    assert decided == [("", "released"), ("T1", "blocked"), ("T1", "released"), ("T2", "blocked")]
+
+
+def test_rows_without_invoice_pass_the_state(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", start, "V", None, 1.0), ("B", start, "V", None, 1.0), ("C", start, "V", "I", 1.0), ("D", start, "V", "I", 1.0)]
+    schema = "transaction_id string, event_time timestamp, vendor_id string, invoice_number string, amount double"
+    frame = spark.createDataFrame(rows, schema)
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = controls.read_files(spark, str(tmp_path / "in"), frame.schema)
+    found = [r["transaction_id"] for r in controls.drain(controls.first_within(stream), "first").collect()]
+    assert {"A", "B"} <= set(found) and len(found) == 3
+
+
 def test_state_limited_block(payments):
     kept = controls.drain(controls.first_within(payments(), "4 days"), "first")
     found = {r["event_id"] for r in kept.collect()}
