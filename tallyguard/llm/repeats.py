@@ -197,7 +197,8 @@ def repeated_runs(docs: DataFrame, spec: Repeats) -> DataFrame:
             cores = records.select("core")
         else:
             cores = live.mapInArrow(_hashes(spec, step, True), "core long")
-        twice = cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+        # written, so that the join has plain shuffles on both sides and can split a hot core
+        twice = write_once(cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "twice")
         kept = write_once(records.join(twice, "core", "left_semi"), "repeated")
         blocks = write_once(_again(kept, "core", "block").withColumn("whole", F.lit(True)), "blocks")
         found = write_once(kept.join(blocks.drop("one"), ["core", "block"], "left").drop("block"), "settled")
