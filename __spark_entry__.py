@@ -33,6 +33,8 @@ from tallyguard.operators import (  # noqa: E402
     star,
 )
 from tallyguard.operators.features import add_features  # noqa: E402
+from tallyguard.plans import audit_run  # noqa: E402
+from tallyguard.plans.scratch import scratch_path  # noqa: E402
 from tallyguard.plans.workspace import Workspace, workspace_for  # noqa: E402
 from tallyguard.sources import files, ledger  # noqa: E402
 from tallyguard.streaming import controls  # noqa: E402
@@ -200,6 +202,67 @@ def _saved_forest(ws: Workspace) -> DataFrame:
     )
 
 
+# ----------------------------------------------------------------------------------------------------
+# round trips: written by a sink, read back by its source
+# ----------------------------------------------------------------------------------------------------
+
+
+def _back_from_csv(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    files.write_csv(df, path)
+    return files.read_csv(df.sparkSession, path, df.schema)
+
+
+def _csv_feed(ws: Workspace) -> DataFrame:
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "feed")
+    files.write_csv(ws.raw.select(*schemas.RAW_LEDGER.names), path)
+    return staging.stage(files.read_ledger_csv(spark, path))
+
+
+def _parquet_feed(ws: Workspace) -> DataFrame:
+    """Files in the order of arrival, without the ordinal: file order and row order must stand in for it."""
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "feed")
+    order = list(staging.ARRIVAL)
+    ws.raw.repartitionByRange(4, *order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
+    return staging.stage(files.read_ledger_parquet(spark, path))
+
+
+def _vendor_csv(ws: Workspace) -> DataFrame:
+    path = scratch_path(ws.raw.sparkSession, "vendors")
+    files.write_csv(ws.master, path)
+    return files.read_vendor_master(ws.raw.sparkSession, path)
+
+
+def _flagged_folder(ws: Workspace) -> DataFrame:
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "flagged")
+    files.write_parquet(ws.flagged, path, audit_run.MONTHS)
+    return _rounded(files.read_flagged(spark, path).select(*ws.flagged.columns), {"dept_baseline_mean": 6})
+
+
+def _staged_view(ws: Workspace) -> DataFrame:
+    files.publish_view(ws.staged, "staged_ledger_view")
+    return ws.raw.sparkSession.table("staged_ledger_view")
+
+
+def _fact_folder(ws: Workspace) -> DataFrame:
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "fact")
+    fact = star.fact(ws.statistics, ml=False)
+    files.write_parquet(audit_run.with_months(fact), path, audit_run.MONTHS)
+    return spark.read.parquet(path).select(*fact.columns)
+
+
+def _run_output(read: Callable[[SparkSession, str, Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
+    """A table that a whole run left behind, read back; the run is made once for each ledger."""
+
+    def build(ws: Workspace) -> DataFrame:
+        if not hasattr(ws, "run_folder"):
+            ws.run_folder = scratch_path(ws.raw.sparkSession, "run")
+            audit_run.run_audit(ws.raw, ws.master, ws.run_folder)
+        return read(ws.raw.sparkSession, ws.run_folder, ws)
+
+    return build
+
+
 def _stream_rolling(spark: SparkSession, folder: str) -> DataFrame:
     windows = controls.drain(controls.rolling_spend(_event_stream(spark, folder)), "rolling")
     return _plain(windows.na.fill(0, ["evaded_limit"]))
@@ -352,6 +415,21 @@ def queries() -> dict[str, Query]:
         "investigation_critical": lambda ws: reports.investigation_ledger(
             ws.flagged, ml=False, tiers=["Critical"], departments=["MACHINERY", "BUILDING"]
         ),
+        # sources and sinks, and what a whole run leaves behind
+        "source_ledger_csv": _csv_feed,
+        "source_ledger_parquet": _parquet_feed,
+        "source_vendor_csv": _vendor_csv,
+        "source_flagged": _flagged_folder,
+        "sink_view": _staged_view,
+        "sink_fact_by_month": _fact_folder,
+        "sink_investigation_csv": lambda ws: _back_from_csv(reports.investigation_ledger(ws.flagged, ml=False), "grid"),
+        "run_staged": _run_output(lambda s, out, ws: s.read.parquet(f"{out}/ledger/staged").select(*ws.staged.columns)),
+        "run_kpis": _run_output(
+            lambda s, out, ws: files.read_csv(s, f"{out}/processed/kpis", aggregates.kpi_row(ws.flagged).schema)
+        ),
+        "run_tiers": _run_output(
+            lambda s, out, ws: files.read_csv(s, f"{out}/processed/tiers", aggregates.tier_summary(ws.flagged).schema)
+        ),
         # model: rows only, no SQL form
         "iforest_trees": _saved_forest,
         "iforest_scores": lambda ws: ws.enriched.select("transaction_id", "ml_iso_forest_flag", "ml_anomaly_score"),

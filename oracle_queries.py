@@ -829,3 +829,18 @@ ORACLE["stream_rules"] = _q(
               CASE WHEN approver_id IS NULL AND amount > 1000 THEN 1 ELSE 0 END AS blocked_unapproved
        FROM event_ledger e JOIN means m ON e.department = m.department""",
 )
+
+# ------------------------------------------------------------------------- round trips and a run's outputs
+for _name, _same_as in {
+    "source_ledger_csv": "stage_ledger",
+    "source_ledger_parquet": "stage_ledger",
+    "source_vendor_csv": "vendor_master",
+    "source_flagged": "flagged",
+    "sink_view": "stage_ledger",
+    "sink_fact_by_month": "fact",
+    "sink_investigation_csv": "investigation_ledger",
+    "run_staged": "stage_ledger",
+    "run_kpis": "kpi_row",
+    "run_tiers": "tier_summary",
+}.items():
+    ORACLE[_name] = ORACLE[_same_as]

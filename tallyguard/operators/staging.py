@@ -77,7 +77,10 @@ def _first_arrivals(raw: DataFrame, order: tuple[str, ...] | None) -> DataFrame:
         missing = F.raise_error(F.lit("a row has no arrival ordinal: name the columns that order the feed"))
         raw = raw.withColumn("ingest_seq", F.coalesce("ingest_seq", missing.cast("long")))
     day = calendar.parse_date(F.col("transaction_date").cast("string"))
-    return dedup_first(raw, order=order).withColumns({"_amount": _amount(raw), "_day": day})
+    raw = raw.withColumn("_amount", _amount(raw))
+    if isinstance(raw.schema["amount"].dataType, StringType):  # as numbers, not as text, amounts break ties
+        order = tuple("_amount" if name == "amount" else name for name in order)
+    return dedup_first(raw, order=order).withColumn("_day", day)
 
 
 def _complete() -> Column:
@@ -136,3 +139,20 @@ def quarantine(raw: DataFrame, order: tuple[str, ...] | None = None) -> DataFram
 
 def staged_count(staged: DataFrame) -> DataFrame:
     return staged.agg(F.count(F.lit(1)).alias("staged_transactions"))
+
+
+def row_counts(raw: DataFrame, staged: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """One row: how many raw rows are staged, in quarantine, repeats of an id, or dropped for their amount."""
+    nameless = F.max(F.col("transaction_id").isNull().cast("int")).alias("_null")
+    counts = raw.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_distinct("transaction_id").alias("_ids"), nameless)
+    row = counts.first()
+    firsts = row["_ids"] + (row["_null"] or 0)
+    kept, held = staged.count(), quarantined.count()
+    values = {
+        "raw_rows": row["raw_rows"],
+        "staged_rows": kept,
+        "quarantined_rows": held,
+        "repeated_rows": row["raw_rows"] - firsts,
+        "dropped_rows": firsts - kept - held,
+    }
+    return raw.sparkSession.range(1).select(*[F.lit(value).cast("long").alias(name) for name, value in values.items()])

@@ -11,7 +11,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
 
 
 def sql_connection(folder: str) -> duckdb.DuckDBPyConnection:

@@ -91,7 +91,13 @@ def test_whole_audit(spark, tmp_path):
     )
     assert set(result.seconds) == {"score", "analyse", "export"}
     fact = spark.read.parquet(f"{out}/star/fact_parquet")
-    assert fact.count() == 4647 and set(fact.columns) == set(schemas.FACT_COLUMNS)
+    assert fact.count() == 4647 and set(fact.columns) == {*schemas.FACT_COLUMNS, "transaction_year", "transaction_month"}
+    for name in ("staged", "flagged"):
+        ledger_table = spark.read.parquet(f"{out}/ledger/{name}")
+        assert ledger_table.count() == 4647
+        assert "PartitionFilters: [isnotnull(transaction_year" in ledger_table.where("transaction_year = 1996")._jdf.queryExecution().toString()
+    counts = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/processed/row_counts").first()
+    assert counts["raw_rows"] == sum(counts) - counts["raw_rows"] and counts["staged_rows"] == 4647
     enriched = files.read_enriched_csv(spark, f"{out}/processed/enriched_transactions")
     assert enriched.count() == 4647
     assert enriched.columns == list(schemas.ENRICHED_COLUMNS)
