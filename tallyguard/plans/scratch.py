@@ -39,3 +39,10 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written; tables that read it are gone with it."""
+    folder = f"{shared_root(spark)}/tallyguard/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -16,12 +16,14 @@ from tallyguard.plans.scratch import write_once
 
 #: most rows that a per-group table may have to be broadcast whole
 BROADCAST_ROWS = 50_000
+#: and the most memory it may take
+BROADCAST_BYTES = 32 << 20
 #: a group is hot when it holds more than one part in this many of all rows
 HOT_GROUPS = 20_000
 
 
 def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """``df`` as a local table if it has at most ``max_rows`` rows, else None."""
+    """``df`` as a local table if it has at most ``max_rows`` rows and ``BROADCAST_BYTES``, else None."""
     limit = BROADCAST_ROWS if max_rows is None else max_rows
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
@@ -29,14 +31,17 @@ def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), to_arrow_schema(df.schema).types)]
     if not rows:
         return df.sparkSession.createDataFrame([], df.schema)
+    if sum(column.nbytes for column in columns) > BROADCAST_BYTES:
+        return None
     # by way of Arrow it becomes a local relation, which Spark plans without tasks of its own
     return df.sparkSession.createDataFrame(pa.table(columns, names=df.columns), df.schema)
 
 
 def settle(df: DataFrame, label: str = "groups", max_rows: int | None = None) -> DataFrame:
     """A small aggregate as a local table, a large one as a written table: computed once either way."""
-    small = bounded(df, max_rows)
-    return small if small is not None else write_once(df, label)
+    written = write_once(df, label)
+    small = bounded(written, max_rows)
+    return small if small is not None else written
 
 
 def attach_group_values(
@@ -55,12 +60,12 @@ def attach_group_values(
     ``rows_col`` is the row count of each group and ``spread_on`` a high-cardinality column of ``df``.
     Rows with a null key match nothing. ``settled`` says that ``groups`` is a local or a written table.
     """
+    groups = groups if settled else write_once(groups, "groups")
     small = bounded(groups, max_rows)
     if small is not None:
         return df.join(F.broadcast(small), keys, how)
 
     hot_limit = hot_groups or HOT_GROUPS
-    groups = groups if settled else write_once(groups, "groups")
     total = groups.agg(F.sum(rows_col)).first()[0]
     values = [name for name in groups.columns if name not in keys]
     hot = groups.where(F.col(rows_col) * F.lit(hot_limit) > F.lit(total)).select(

@@ -14,7 +14,7 @@ from tallyguard.operators.features import add_features
 from tallyguard.operators.outliers import add_statistics
 from tallyguard.operators.rules import score_ledger
 from tallyguard.operators.staging import stage
-from tallyguard.plans.scratch import write_once
+from tallyguard.plans.scratch import remove_scratch, write_once
 
 
 class Workspace:
@@ -67,8 +67,15 @@ class Workspace:
 _workspaces: dict[tuple[str, str], Workspace] = {}
 
 
+def close_workspaces(spark: SparkSession) -> None:
+    """Forget the session's workspaces and delete their written tables."""
+    for key in [k for k in _workspaces if k[0] == spark.sparkContext.applicationId]:
+        del _workspaces[key]
+    remove_scratch(spark)
+
+
 def workspace_for(spark: SparkSession, folder: str, build: Callable[[], Workspace]) -> Workspace:
-    """The session's workspace for an input folder."""
+    """The session's workspace for an input folder, until ``close_workspaces``; files added later are not seen."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
         _workspaces[key] = build()
