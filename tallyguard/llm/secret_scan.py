@@ -329,13 +329,21 @@ def train(texts: list[str], steps: int = 80, decay: float = 1e-3) -> Field | Non
 
 
 def fit(docs: DataFrame, sample: int = 100) -> Field | None:
-    """Train on a bounded sample: ``sample`` texts the patterns match and as many others, lowest hashes first."""
-    short = plain(docs).filter("char_length(text) BETWEEN 1 AND 20000").select("text", F.col("text").rlike(_LIKELY).alias("hit"))
-    ordered = short.withColumn("h", F.xxhash64("text", F.lit(1)))
+    """Train on a bounded sample: ``sample`` texts the patterns match and as many others, lowest hashes first.
+
+    Rows are counted first, so that about twice as many as are wanted reach the driver, whatever the table's size.
+    """
+    short = plain(docs).filter("char_length(text) BETWEEN 1 AND 20000")
+    short = short.select("text", F.col("text").rlike(_LIKELY).alias("hit"), F.xxhash64("doc_id", "text").alias("h"))
+    found = {r["hit"]: r["count"] for r in short.groupBy("hit").count().collect()}
+    drawn = F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30)
+    wanted = F.lit(False)
+    for hit, count in found.items():
+        wanted = wanted | ((F.col("hit") == hit) & (drawn < min(1.0, 2 * sample / count)))
+    rows = short.filter(wanted).limit(8 * sample).collect() if found else []
     texts = []
     for hit in (True, False):
-        rows = ordered.filter(F.col("hit") if hit else ~F.col("hit")).orderBy("h", "text").limit(sample).collect()
-        texts += [r["text"] for r in rows]
+        texts += [r["text"] for r in sorted((r for r in rows if r["hit"] == hit), key=lambda r: (r["h"], r["text"]))[:sample]]
     return train(texts)
 
 
