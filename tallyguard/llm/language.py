@@ -4,8 +4,9 @@ log P(language | everything) = text log-likelihood * ``temper`` + log P(declared
                                + log P(language | host) + constant
 
 * Text: byte trigrams of the lower-case letters, hashed into a table of log-probabilities for each language. The model
-  is fitted on at most about ``sample`` texts for each declared language, chosen by hash; only declared values among
-  the ``languages`` most frequent ones are languages.
+  is fitted on at most ``sample`` different texts for each declared language, those of the lowest hashes. Every declared
+  value with ``enough`` rows is a language, and so are the ``languages`` most frequent values however rare. The table
+  grows by 256 KB with each.
 * Declared markup language: how often each value is declared on texts that read as each language.
 * Host: languages of the host's other texts, smoothed towards the address suffix, which is smoothed towards all texts
   (Dirichlet weight ``strength`` at each level). A text's own reading does not count towards its own prior.
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.llm.common import rows_chosen, text_key
@@ -56,20 +57,33 @@ def grams(text: str) -> np.ndarray:
     return (codes * np.uint32(2654435761)) >> np.uint32(16)
 
 
-def fit(docs: DataFrame, languages: int = 32, sample: int = 500, smoothing: float = 0.1) -> TextModel:
-    """Fit on rows of ``text`` and ``declared``, about ``sample`` texts of at most 20,000 characters for each language."""
+def fit(docs: DataFrame, languages: int = 32, sample: int = 500, smoothing: float = 0.1, enough: int = 5) -> TextModel:
+    """Fit on rows of ``text`` and ``declared``, on ``sample`` different texts of at most 20,000 characters for each language.
+
+    Languages are all declared values with ``enough`` rows, and the ``languages`` most frequent ones however few theirs.
+    """
     labelled = docs.filter("declared IS NOT NULL AND declared != ''")
-    counts = labelled.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "declared").limit(languages)
-    found = sorted((r["declared"], r["n"]) for r in counts.collect())
-    share = F.lit(0.0)
-    for name, n in found:
-        share = F.when(F.col("declared") == name, min(1.0, sample / n)).otherwise(share)
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * float(1 << 30)
-    chosen = labelled.filter(F.char_length("text") <= 20_000).filter(drawn).select("declared", "text")
-    names = [name for name, _ in found]
-    seen = np.zeros((BUCKETS, len(names)))
-    for row in chosen.limit(2 * sample * max(1, len(names))).collect():  # the documented bound
-        seen[:, names.index(row["declared"])] += np.bincount(grams(row["text"]), minlength=BUCKETS)
+    labelled = labelled.select("declared", "text", (F.char_length("text") <= 20_000).alias("short"), F.xxhash64("text").alias("h"))
+    counts = labelled.groupBy("declared").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.when(F.col("short"), F.col("h")), 0.02).alias("texts")
+    )
+    counts = write_once(counts, "languages")
+    order = F.desc("n"), F.asc("declared")
+    frequent = counts.orderBy(*order).limit(languages)
+    found = {r["declared"]: r["texts"] for r in counts.filter(F.col("n") >= enough).unionByName(frequent).collect()}
+    names = sorted(found)
+    seen = np.zeros((BUCKETS, len(names)), np.uint32)
+    if names:
+        shares = [(name, min(1.0, 1.5 * sample / max(1, found[name]))) for name in names]
+        shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "declared string, share double"))
+        drawn = F.pmod("h", F.lit(1 << 30)) < F.col("share") * float(1 << 30)
+        drawn = labelled.filter("short").join(shares, "declared").filter(drawn)
+        drawn = drawn.groupBy("declared", "h").agg(F.min("text").alias("text"))  # copies once
+        place = F.row_number().over(Window.partitionBy("declared").orderBy("h"))
+        chosen = drawn.withColumn("place", place).filter(F.col("place") <= sample).select("declared", "text")
+        number = {name: i for i, name in enumerate(names)}
+        for row in chosen.toLocalIterator():
+            seen[:, number[row["declared"]]] += np.bincount(grams(row["text"]), minlength=BUCKETS).astype(np.uint32)
     table = np.log((seen + smoothing) / (seen.sum(axis=0) + smoothing * BUCKETS)).astype(np.float32)
     return TextModel(tuple(names), table)
 
@@ -77,6 +91,7 @@ def fit(docs: DataFrame, languages: int = 32, sample: int = 500, smoothing: floa
 def read(docs: DataFrame, model: TextModel) -> DataFrame:
     """Add ``letters`` (trigrams), ``loglik`` for each language and ``reads``, the number of the best one (-1: none)."""
     table, base = model.table, float(-np.log(BUCKETS))
+    step = max(1, min(1 << 20, (1 << 23) // max(1, table.shape[1])))
     kept = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c != "text")
 
@@ -86,8 +101,8 @@ def read(docs: DataFrame, model: TextModel) -> DataFrame:
             for text in batch.column(batch.schema.names.index("text")).to_pylist():
                 codes = grams(text)
                 total = np.zeros(table.shape[1])
-                for at in range(0, len(codes), 1 << 20):
-                    total += table[codes[at : at + (1 << 20)]].sum(axis=0, dtype=np.float64)
+                for at in range(0, len(codes), step):
+                    total += table[codes[at : at + step]].sum(axis=0, dtype=np.float64)
                 sizes.append(len(codes))
                 sums.append(total)
             best = [int(np.argmax(s)) if n and len(s) and s.max() > base * n else -1 for n, s in zip(sizes, sums)]

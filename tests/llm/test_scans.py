@@ -270,6 +270,27 @@ def test_language_priors_decide_what_the_text_leaves_open(spark):
     assert kept.columns == docs.columns and {903, 904}.isdisjoint({r.doc_id for r in kept.collect()})
 
 
+def test_language_keeps_many_languages(spark):
+    rng, found = random.Random(21), []
+    for i in range(40):
+        own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(9)]
+        found += [(1000 * i + k, prose(rng, 40, own), f"l{chr(97 + i // 26)}{chr(97 + i % 26)}", "h", 0) for k in range(100 - 2 * i)]
+    docs = table(spark, found)
+    result = {r.doc_id: r for r in language.identify(language.from_documents(docs, "doc_id")).collect()}
+    assert all(result[i].accepted and result[i].language == lang for i, _, lang, *_ in found)
+    assert language.keep_identified(docs).count() == len(found)
+
+
+def test_language_sample_is_bounded_for_each_language(spark):
+    rng = random.Random(22)
+    found = [(i, prose(rng, 30, ("der", "ich") if i % 2 else ("the", "ing")), "de" if i % 2 else "en", "h", 0) for i in range(400)]
+    model = language.fit(language.from_documents(table(spark, found)), sample=20)
+    copied = [(1000 * k + i, *r) for i, *r in found for k in range(100 if i < 60 else 1)]
+    for parts in (1, 7):
+        again = language.fit(language.from_documents(table(spark, copied[::-1]).repartition(parts)), sample=20)
+        assert again.languages == model.languages and (again.table == model.table).all()
+
+
 def test_language_awkward_tables(spark):
     assert language.identify(language.from_documents(table(spark, rows(12)), "doc_id")).count() == len(rows(12))
     none = spark.createDataFrame([(1, "a text", None, None, 6)], SCHEMA)
