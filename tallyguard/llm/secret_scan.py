@@ -10,8 +10,8 @@ without the words around them, so that the tagger goes by shape and not by the p
 Decoding is exact Viterbi. A text is first bounded: if no token's best tag, with the best transitions into and out
 of it, beats outside, the path of outsides is the best one and need not be searched.
 
-Spans count code points, the end exclusive. A tagged span is stripped of quotes and marks and is added if it overlaps
-no base span.
+Spans count code points, the end exclusive. A tagged span is stripped of quotes and marks. If it overlaps base spans,
+these stay as they are, and each part of its tokens that none of them covers is added, unless it is marks alone.
 
 Defined cases: a null or empty text has no spans; repeated rows give equal rows; without any text there is nothing to
 train on and only the patterns search; an empty table gives no rows.
@@ -350,6 +350,20 @@ def fit(docs: DataFrame, sample: int = 100) -> Field | None:
 # ---------------------------------------------------------------------------------------------------- scanning
 
 
+def _uncovered(text: str, places: list[tuple[int, int]], base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of the tokens at ``places`` outside the ``base`` spans; marks go at a token's ends, not beside a base span."""
+    parts = []
+    for start, end in places:
+        token = text[start:end]
+        start += len(token) - len(token.lstrip(_EDGES))
+        end -= len(token) - len(token.rstrip(_EDGES))
+        for s, e in [*base, (end, end)]:
+            if start < min(s, end) and text[start : min(s, end)].strip(_EDGES):
+                parts.append((start, min(s, end)))
+            start = max(start, e)
+    return parts
+
+
 def spans_of(text: str, model: Field | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans, by start, then kind."""
     base = base_spans(text)
@@ -373,8 +387,9 @@ def spans_of(text: str, model: Field | None) -> list[tuple[int, int, int]]:
             value = text[start:end]
             start += len(value) - len(value.lstrip(_EDGES))
             end -= len(value) - len(value.rstrip(_EDGES))
-            if start < end and not any(s < end and start < e for s, _, e, _ in base):
-                found.append((start, 3, end))
+            near = [(s, e) for s, _, e, _ in base if s < end and start < e]
+            if start < end:
+                found += [(s, 3, e) for s, e in (_uncovered(text, places[k : last + 1], near) if near else [(start, end)])]
             k = last + 1
     return sorted(found)
 

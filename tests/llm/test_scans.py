@@ -243,6 +243,33 @@ def test_secret_base_and_table(spark, tagger):
     assert secret_scan.scan(table(spark, [])).count() == 0
 
 
+class Everything:
+    """A tagger that takes all tokens for one secret."""
+
+    def tags(self, text, tokens):
+        return [secret_scan.BEGIN, *[secret_scan.INSIDE] * (len(tokens) - 1)] if tokens else None
+
+
+def test_parts_beyond_base_spans_are_secrets_too(spark, tagger):
+    hexes, other = "0123456789abcdef", "Zq8Xw2Vt6Rk4"
+    texts = {
+        'password="aB3dE5gH7jK9!mN2x"': "<SECRET><SECRET>\"",
+        f"{other}{hexes}{other}": "<SECRET><SECRET><SECRET>",
+        f"({hexes}), {other};": "(<SECRET>), <SECRET>;",
+        f"{other} {hexes}": "<SECRET> <SECRET>",
+        f"{hexes}!!{hexes}": "<SECRET>!!<SECRET>",
+        f"password={hexes}": "<SECRET>",
+    }
+    for text, hidden in texts.items():
+        spans, base = secret_scan.spans_of(text, Everything()), secret_scan.base_spans(text)
+        assert [x for x in spans if x[1] != 3] == [(s, k, e) for s, k, e, _ in base]
+        assert secret_scan.without_spans(text, spans, "<SECRET>") == hidden
+    words = prose(random.Random(3), 20)
+    found = [(i, f"{words} {text} {words}", "en", "s", 1) for i, text in enumerate(('password="aB3dE5gH7jK9!mN2x"', f"{other}{hexes}{other}"))]
+    for r in secret_scan.redact(table(spark, found), tagger).collect():
+        assert "mN2x" not in r.text and other not in r.text
+
+
 # ------------------------------------------------------------------------------------------------------ language
 
 
