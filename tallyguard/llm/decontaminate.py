@@ -15,8 +15,9 @@ All items that score ``share`` of what they score against themselves are retriev
 at least ``overlap`` of the word shingles of its question, and as much of its answer, stand in the passage. An item
 without separate columns is its question up to the last sentence, which is its answer (or the last third of its words).
 
-The index travels to the tasks in parts of at most ``part_bytes`` of item text, one part after the other, each an index
-with statistics of its own. Documents are not shuffled.
+The index travels to the tasks in parts of about ``part_bytes`` of item text, one part after the other. Document
+frequencies, the number of items, their mean length and the longest one are those of all items in every part, so that
+results do not depend on the number of parts. Documents are not shuffled.
 
 Defined cases: a null or empty text matches nothing; items without words are left out; repeated items each match;
 repeated rows give rows each; null doc_ids are kept; without items or documents there are no rows.
@@ -27,6 +28,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -35,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.llm.common import plain, rows_chosen, text_key
+from tallyguard.plans.scratch import write_once
 
 SCHEMA = (
     "doc_id long, key binary, item_id long, score double, share double, question_overlap double, "
@@ -60,18 +64,43 @@ def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
-class Index:
-    """Inverted index of items (id, question words, answer words)."""
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items with words: their number, words together, words of the longest, and items by term."""
+
+    count: int
+    words: int
+    longest: int
+    frequency: dict[bytes, int]
+
+    @classmethod
+    def of(cls, counts: list[Counter]) -> Statistics:
+        sizes = [sum(c.values()) for c in counts]
+        return cls(len(sizes), sum(sizes), max(sizes, default=0), Counter(t for c in counts for t in c))
 
-    def __init__(self, items, share: float, overlap: float, shingle: int, block: int = 8, k1: float = 1.2, b: float = 0.75):
+
+class Index:
+    """Inverted index of items (id, question words, answer words), which may be a part of those of ``statistics``."""
+
+    def __init__(
+        self,
+        items,
+        share: float,
+        overlap: float,
+        shingle: int,
+        block: int = 8,
+        k1: float = 1.2,
+        b: float = 0.75,
+        statistics: Statistics | None = None,
+    ):
         items = [(i, q, a) for i, q, a in items if q or a]
         self.share, self.overlap, self.shingle = share, overlap, shingle
         counts = [Counter(q + a) for _, q, a in items]
         sizes = [sum(c.values()) for c in counts]
-        self.stretch = max([32, *sizes])
-        mean = sum(sizes) / max(1, len(sizes))
-        df = Counter(t for c in counts for t in c)
-        idf = {t: math.log(1 + (len(items) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        known = statistics or Statistics.of(counts)
+        self.stretch = max(32, known.longest)
+        mean = known.words / max(1, known.count)
+        idf = {t: math.log(1 + (known.count - n + 0.5) / (n + 0.5)) for t, n in known.frequency.items()}
         weights = [
             {t: idf[t] * n * (k1 + 1) / (n + k1 * (1 - b + b * size / mean)) for t, n in c.items()}
             for c, size in zip(counts, sizes)
@@ -228,6 +257,37 @@ def _search(index: Index):
     return run
 
 
+def _parted(texts) -> tuple[list[bytes], list[bytes]]:
+    """Question and answer of an item given as one text or as two."""
+    return (words_of(texts[0]), words_of(texts[1])) if len(texts) == 2 else question_and_answer(texts[0])
+
+
+def _statistics(items: DataFrame, columns: list[str]) -> Callable[[int], Statistics]:
+    """Statistics of all items, by grouped counts; for a ``part``, the frequencies of its own terms."""
+
+    def run(batches):
+        for batch in batches:
+            part, *texts = (column.to_pylist() for column in batch.columns)
+            for number, *own in zip(part, *texts):
+                question, answer = _parted(own)
+                terms = list(dict.fromkeys(question + answer))
+                if terms:
+                    rows = [number] * (len(terms) + 1), [None, *terms], [len(question) + len(answer)] * (len(terms) + 1)
+                    kinds = (pa.int64(), pa.binary(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], ["part", "term", "words"])
+
+    terms = write_once(items.select("part", *columns).mapInArrow(run, "part long, term binary, words long"), "item-terms")
+    count, words, longest = terms.filter("term IS NULL").agg(F.count(F.lit(1)), F.sum("words"), F.max("words")).first()
+    by_term = terms.filter("term IS NOT NULL").groupBy("term")
+    frequency = write_once(by_term.agg(F.count(F.lit(1)).alias("n"), F.collect_set("part").alias("parts")), "item-frequencies")
+
+    def of(part: int) -> Statistics:
+        own = frequency.filter(F.array_contains("parts", F.lit(part).cast("long"))).select("term", "n").collect()
+        return Statistics(count, words or 0, longest or 0, {bytes(r["term"]): r["n"] for r in own})
+
+    return of
+
+
 def retrieve(
     docs: DataFrame,
     items: DataFrame,
@@ -247,15 +307,20 @@ def retrieve(
         size = size + F.octet_length(f"part{i}")
     total = items.agg(F.sum(size.cast("long"))).first()[0] or 0
     parts = total // part_bytes + 1
+    names = [f"part{i}" for i in range(len(columns))]
+    statistics = None  # a single part has them itself
+    if parts > 1:
+        items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "part0"), F.lit(parts)))
+        statistics = _statistics(items, names)
     found = None
     keyed = plain(docs).select("doc_id", text_key().alias("key"), "text")
     for number in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "part0"), F.lit(parts)) == number) if parts > 1 else items
+        own = items.filter(F.col("part") == number) if parts > 1 else items
         rows = own.orderBy("item_id").collect()  # about part_bytes of text
-        split = [(r["item_id"], *((words_of(r["part0"]), words_of(r["part1"])) if separate else question_and_answer(r["part0"]))) for r in rows]
-        index = Index(split, share, overlap, shingle)
-        if not index.items:
+        split = [(r["item_id"], *_parted([r[name] for name in names])) for r in rows]
+        if not any(q or a for _, q, a in split):
             continue
+        index = Index(split, share, overlap, shingle, statistics=statistics(number) if statistics else None)
         matches = keyed.mapInArrow(_search(index), SCHEMA)
         found = matches if found is None else found.unionByName(matches)
     return docs.sparkSession.createDataFrame([], SCHEMA) if found is None else found

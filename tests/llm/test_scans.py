@@ -122,6 +122,20 @@ def test_decontamination_table(spark):
     assert decontaminate.retrieve(table(spark, []), bench).count() == 0
 
 
+@pytest.mark.parametrize("columns", [{}, {"question": "q", "answer": "a"}])
+def test_decontamination_does_not_depend_on_parts(spark, columns):
+    rng = random.Random(13)
+    items = [(i, f"{prose(rng, rng.randint(4, 60))}. {prose(rng, 5)}.", prose(rng, rng.randint(4, 60)), prose(rng, 5)) for i in range(40)]
+    items += [(80, None, None, None), items[3]]
+    docs = [(i, f"{prose(rng, 40)} {t[: len(t) * (i % 5 + 1) // 5]} {prose(rng, 200)}", "en", "s", 1) for i, t, *_ in items[:40]]
+    bench = spark.createDataFrame(items, "item_id long, text string, q string, a string")
+    results = []
+    for part_bytes in (8 << 20, 700):
+        found = decontaminate.retrieve(table(spark, docs), bench, share=0.3, part_bytes=part_bytes, **columns).collect()
+        results.append(sorted((r.doc_id, r.item_id, round(r.score, 9), round(r.share, 9), r.first_word, r.confirmed) for r in found))
+    assert results[0] == results[1] and len(results[0]) > 20
+
+
 # ------------------------------------------------------------------------------------------------------ licenses
 
 
