@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public tokenizer file.
 
 The tokenizer lower-cases, drops white space and never joins characters across it, so the ids of a text are the
-ids of its space-separated chunks in a row. A Python worker keeps the ids of chunks it has met.
+ids of its space-separated chunks in a row. Strings of special tokens have no white space and get their own ids, as
+the library gives them. A Python worker keeps the ids of chunks it has met.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.room, self.known, self.words = room, {"": b""}, {}
         # letters that neither compose nor change length, then marks without an apostrophe: two separate pre-tokens
         self.parts = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{1,40})([.,;:!?*%$#&]{0,8})").fullmatch

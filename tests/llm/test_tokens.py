@@ -30,6 +30,18 @@ def test_chunks_are_encoded_like_whole_texts(text):
     assert np.frombuffer(enc.encode(text), "<u4").tolist() == whole
 
 
+def test_special_strings_get_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    tok, enc = Tokenizer.from_file(tokens.vocabulary_path()), tokens.ChunkEncoder(tokens.vocabulary_path())
+    texts = ["end <|endoftext|> here", "a<|endoftext|>b.<|startoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "z" * 50 + "<|endoftext|>'s\n<|endoftext|>"]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [806, 49407, 763]
+    assert [np.frombuffer(enc.encode(t), "<u4").tolist() for t in texts] == want
+    found = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    assert {r.doc_id: r.doc_tokens for r in packing.pack(table(spark, found), capacity=256).collect()} == {i: len(w) + 1 for i, w in enumerate(want)}
+
+
 def test_encoder_with_little_room():
     enc = tokens.ChunkEncoder(tokens.vocabulary_path(), room=3)
     for text in ("one two three four five six", "seven, eight nine. ten", "one two " + "z" * 500):
