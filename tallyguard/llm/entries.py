@@ -38,8 +38,13 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
-    rows = language.from_documents(documents(spark, folder), F.col("doc_id").cast("long").alias("doc_id"))
-    return language.identify(rows).select("doc_id", "declared", "host", "language", F.round("posterior", 6).alias("posterior"), "accepted")
+    """All documents, then all pages (``doc_id`` null), which have markup and addresses; each table has its own model."""
+    none, own = F.lit(None).cast("long"), lambda name: F.col(name).cast("long").alias(name)
+    docs = language.from_documents(documents(spark, folder), own("doc_id"), none.alias("page_id"))
+    pages = language.from_pages(spark.read.parquet(f"{folder}/pages.parquet"), none.alias("doc_id"), own("page_id"))
+    rows = language.identify(docs).unionByName(language.identify(pages))
+    posterior = F.round("posterior", 6).alias("posterior")
+    return rows.select("doc_id", "page_id", "declared", "host", "suffix", "language", posterior, "accepted")
 
 
 def op9_seed_extend(spark: SparkSession, folder: str) -> DataFrame:

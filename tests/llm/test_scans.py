@@ -12,7 +12,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 from text_cases import SCHEMA, clashing, prose, rows, table
 
-from tallyguard.llm import decontaminate, imatch, language, licenses, secret_scan
+from tallyguard.llm import decontaminate, entries, imatch, language, licenses, secret_scan
 
 # ------------------------------------------------------------------------------------------------ fingerprints
 
@@ -346,3 +346,13 @@ def test_language_of_pages(spark):
     assert "<p" not in first.text and first.host.split(".")[-2:] == ["example", first.suffix]
     found = language.identify(evidence).collect()
     assert len(found) == pages.count() and np.mean([r.accepted for r in found]) > 0.9
+
+
+def test_language_query_reads_documents_and_pages(spark):
+    found = entries.op8_language_id(spark, SMALL).collect()
+    for name, own in (("documents", "doc_id"), ("pages", "page_id")):
+        ids = [r[own] for r in spark.read.parquet(f"{SMALL}/{name}.parquet").collect()]
+        assert sorted(r[own] for r in found if r[own] is not None) == sorted(ids)
+    pages = [r for r in found if r.page_id is not None]
+    assert all(r.doc_id is None and r.host.endswith(f".{r.suffix}") for r in pages)
+    assert len({r.suffix for r in pages}) > 1 and np.mean([r.accepted for r in pages]) > 0.9
