@@ -223,7 +223,7 @@ def _parquet_feed(ws: Workspace) -> DataFrame:
     """Files in the order of arrival, without the ordinal: file order and row order must stand in for it."""
     spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "feed")
     order = list(staging.ARRIVAL)
-    ws.raw.repartitionByRange(4, *order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
+    ws.raw.repartitionByRange(*order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
     return staging.stage(files.read_ledger_parquet(spark, path))
 
 

@@ -37,6 +37,17 @@ def test_feed_without_ordinal(spark, raw_rows, tmp_path):
         staging.stage(raw)
 
 
+def test_written_feed_has_no_fixed_number_of_files(spark, raw_rows, many_parts, monkeypatch):
+    from types import SimpleNamespace
+
+    read, paths = files.read_ledger_parquet, []
+    monkeypatch.setattr(files, "read_ledger_parquet", lambda session, path: paths.append(path) or read(session, path))
+    raw = raw_rows(*[{} for _ in range(200)])
+    back = contract._parquet_feed(SimpleNamespace(raw=raw))
+    assert sorted(r.transaction_id for r in back.collect()) == sorted(f"T{i}" for i in range(1, 201))
+    assert len(spark.read.parquet(paths[0]).inputFiles()) == 8  # spark.sql.shuffle.partitions of the tests
+
+
 def test_files_come_before_rows(spark, raw_rows, tmp_path):
     """Of an id in two files, the one in the earlier file arrived first, whatever its row."""
     for name, rows in (("a", [{"transaction_id": "B"}, {"transaction_id": "A", "amount": 100.0}]), ("b", [{"transaction_id": "A", "amount": 999.0}])):
