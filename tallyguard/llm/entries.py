@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import decontaminate, frames, imatch, language, licenses, packing, secret_scan, seed_extend, simhash, suffix_dedup
+from tallyguard.llm import (
+    decontaminate,
+    frames,
+    imatch,
+    language,
+    licenses,
+    merkle,
+    packing,
+    secret_scan,
+    seed_extend,
+    simhash,
+    spelling,
+    suffix_dedup,
+    token_counts,
+)
 from tallyguard.llm.common import documents
 from tallyguard.llm.oracle import SQL  # noqa: F401 - part of what this module offers
 from tallyguard.plans.scratch import scratch_path
@@ -125,6 +139,30 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = token_counts.count_tokens(documents(spark, folder))
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the documents, by crc32, claim a leaf whose text has lost its line breaks."""
+    bare = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    claimed = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, merkle.leaf_of(merkle.COLUMNS, text=bare))
+    rows = merkle.manifest(
+        documents(spark, folder), claimed=F.coalesce(claimed, merkle.leaf_of(merkle.COLUMNS))
+    )
+    rows = rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("claimed"), F.col("path")).alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spelling.variants(documents(spark, folder), least=5, occurrences=3, every=97, ratio=2)
+    return rows.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -136,4 +174,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_seed_extend": op9_seed_extend,
     "op10_simhash": op10_simhash,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
 }

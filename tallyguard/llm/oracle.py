@@ -125,3 +125,124 @@ JOIN near c ON c.doc_id = e.doc_id AND c.kind = 'near_edited' JOIN near o ON o.d
 """
 
 SQL: dict[str, str] = {"op2_suffix_dedup": OP2, "op3_imatch": OP3, "op9_seed_extend": OP9}
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    code = f"CAST('0x' || substring(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    codes = f"[{code} FOR i IN range(0, octet_length(encode({text})))]"
+    bit = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    step = f"list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda a, k: {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _measured(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_measured(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of all trees over ``{name}_0`` (tree, idx, h), with each node's siblings; single nodes stay as they are."""
+    parts = []
+    for level in range(levels):
+        parts.append(
+            f"""{name}_n{level} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}_{level}),
+{name}_s{level} AS (
+  SELECT tree, idx, h, n,
+         coalesce(CASE WHEN n > 1 THEN string_agg(h, '' ORDER BY idx) OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END, '') AS l,
+         coalesce(CASE WHEN n > 1 THEN string_agg(h, '' ORDER BY idx) OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) END, '') AS r
+  FROM {name}_n{level} WINDOW run AS (PARTITION BY tree, idx // 3 ORDER BY idx)
+),
+{name}_{level + 1} AS (
+  SELECT tree, idx // 3 AS idx, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h
+  FROM {name}_s{level} GROUP BY tree, idx // 3
+)"""
+        )
+    return ",\n".join(parts)
+
+
+def _fold(name: str, levels: int, start: str, tree: str) -> str:
+    """From rows of ``start`` (idx, acc, proof), up through all levels: ``{name}_f{levels}``."""
+    parts, before = [], start
+    for level in range(levels):
+        parts.append(
+            f"""{name}_f{level + 1} AS (
+  SELECT x.* EXCLUDE (idx, acc, proof), x.idx // 3 AS idx, proof || s.l || s.r AS proof,
+         CASE WHEN s.n > 1 THEN sha256(s.l || x.acc || s.r) ELSE x.acc END AS acc
+  FROM {before} x JOIN {name}_s{level} s ON s.tree = x.{tree} AND s.idx = x.idx
+)"""
+        )
+        before = f"{name}_f{level + 1}"
+    return ",\n".join(parts)
+
+
+#: levels of three slots: sources of up to 3^10 documents, up to 3^6 sources
+LEAVES, SOURCES = 10, 6
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, {_leaf("text")} AS h,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claimed
+  FROM documents
+),
+a AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx FROM d),
+l_0 AS (SELECT tree, idx, h FROM a),
+{_tree("l", LEAVES)},
+b AS (SELECT tree AS source_tree, h, row_number() OVER (ORDER BY tree) - 1 AS idx FROM l_{LEAVES}),
+t_0 AS (SELECT 0 AS tree, idx, h FROM b),
+{_tree("t", SOURCES)},
+climbing AS (SELECT doc_id, h AS leaf, tree, idx, claimed AS acc, '' AS proof FROM a),
+{_fold("l", LEAVES, "climbing", "tree")},
+higher AS (
+  SELECT f.doc_id, f.leaf, b.h AS subroot, 0 AS top, b.idx, f.acc, f.proof
+  FROM l_f{LEAVES} f JOIN b ON b.source_tree = f.tree
+),
+{_fold("t", SOURCES, "higher", "top")}
+SELECT f.doc_id, f.leaf, f.subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.acc AS folded_root, f.acc = r.h AS verified
+FROM t_f{SOURCES} f CROSS JOIN t_{SOURCES} r
+"""
+
+OP13 = rf"""
+WITH runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+  GROUP BY 1, 2
+),
+coded AS (SELECT run, n, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs WHERE length(run) >= 5),
+spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substring(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+  FROM coded
+),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+gaps AS (
+  SELECT word, n, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+),
+pairs AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON b.word = a.rest
+  UNION
+  SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON b.word = a.rest
+),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 2 * w.n THEN b.near END AS form,
+         CASE WHEN b.near_n >= 2 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+),
+r0 AS (SELECT word, coalesce(form, word) AS root FROM forms),
+r1 AS (SELECT a.word, b.root FROM r0 a JOIN r0 b ON b.word = a.root),
+r2 AS (SELECT a.word, b.root FROM r1 a JOIN r1 b ON b.word = a.root),
+r3 AS (SELECT a.word, b.root FROM r2 a JOIN r2 b ON b.word = a.root),
+r4 AS (SELECT a.word, b.root FROM r3 a JOIN r3 b ON b.word = a.root),
+r5 AS (SELECT a.word, b.root FROM r4 a JOIN r4 b ON b.word = a.root),
+r6 AS (SELECT a.word, b.root FROM r5 a JOIN r5 b ON b.word = a.root)
+SELECT forms.word, form, r6.root, n, n_near, form_n FROM forms JOIN r6 ON r6.word = forms.word
+"""
+
+SQL.update({"op12_merkle": OP12, "op13_spelling": OP13})
