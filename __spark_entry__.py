@@ -56,12 +56,12 @@ if _present("tallyguard.llm"):
 
     TEXT_QUERIES.update(text_entries.QUERIES)
     TEXT_SQL.update(text_entries.SQL)
-if _present("corpus_pipeline"):
-    import corpus_pipeline
+    if _present("corpus_pipeline"):  # its stages are operators of that subpackage
+        import corpus_pipeline
 
-    TEXT_QUERIES["pipeline"] = corpus_pipeline.run
-    if corpus_pipeline.ORACLE_SQL is not None:
-        TEXT_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+        TEXT_QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            TEXT_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
