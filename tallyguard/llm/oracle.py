@@ -80,43 +80,28 @@ lexicon AS (
   SELECT term FROM spread WHERE v = 0 GROUP BY term
   HAVING count(*) >= 0.002 * (SELECT count(*) FROM documents) AND count(*) <= 0.25 * (SELECT count(*) FROM documents)
 ),
-subs AS (
-  SELECT term, j FROM lexicon, (SELECT unnest(range(0, 32)) AS j)
-  WHERE substring(md5((j // 16)::VARCHAR || ':' || term), 1 + 2 * (j % 16), 2) IN ('00', '01', '02', '03')
-),
-met AS (SELECT doc_id, v, count(*) AS n FROM spread JOIN lexicon USING (term) GROUP BY doc_id, v),
+subs AS (SELECT term, ('0x' || substring(md5(term), 1, 4))::INT % 64 AS j FROM lexicon),
+met AS (SELECT doc_id, v, count(*) AS n FROM spread JOIN lexicon USING (term) GROUP BY doc_id, v HAVING count(*) >= 4),
 codes AS (
-  SELECT doc_id, v, j, substring(md5(string_agg(term, ' ' ORDER BY term)), 1, 10) AS code
-  FROM spread JOIN subs USING (term) GROUP BY doc_id, v, j
-),
-grid AS (
-  SELECT x.doc_id, x.v, md5(array_to_string(x.terms, ' ')) AS whole, g.j,
-         CASE WHEN coalesce(met.n, 0) < 4 THEN '' ELSE coalesce(codes.code, '') END AS code
-  FROM versions x CROSS JOIN (SELECT unnest(range(0, 32)) AS j) g
-  LEFT JOIN met ON met.doc_id = x.doc_id AND met.v = x.v
-  LEFT JOIN codes ON codes.doc_id = x.doc_id AND codes.v = x.v AND codes.j = g.j
+  SELECT doc_id, v, j, j || ':' || substring(md5(j || ':' || string_agg(term, ' ' ORDER BY term)), 1, 10) AS code
+  FROM spread JOIN subs USING (term) JOIN met USING (doc_id, v) GROUP BY doc_id, v, j
 ),
+rows_ AS (SELECT doc_id, v, list(j) AS met, list(code) AS codes, string_agg(code, '.' ORDER BY j) AS text FROM codes GROUP BY doc_id, v),
 f AS (
-  SELECT doc_id, v, any_value(whole) AS whole, list(code ORDER BY j) AS codes,
-         CASE WHEN max(code) = '' THEN '=' || any_value(whole) ELSE string_agg(code, '.' ORDER BY j) END AS fingerprint
-  FROM grid GROUP BY doc_id, v
+  SELECT x.doc_id, x.v, md5(array_to_string(x.terms, ' ')) AS whole, coalesce(r.met, []) AS met, coalesce(r.codes, []) AS codes,
+         coalesce(r.text, '=' || md5(array_to_string(x.terms, ' '))) AS fingerprint
+  FROM versions x LEFT JOIN rows_ r ON r.doc_id = x.doc_id AND r.v = x.v
 ),
 pairs AS (
-  SELECT e.doc_id, 'near_edited' AS kind, a.whole = b.whole AS same, a.codes AS x, b.codes AS y
+  SELECT e.doc_id, 'near_edited' AS kind, a.whole = b.whole AS same, len(list_intersect(a.codes, b.codes)) AS n,
+         len(list_distinct(list_concat(a.met, b.met))) AS m
   FROM e JOIN f a ON a.doc_id = e.doc_id AND a.v = 0 JOIN f b ON b.doc_id = e.doc_id AND b.v = 1
   UNION ALL
-  SELECT e.doc_id, 'near_next', a.whole = b.whole, a.codes, b.codes
+  SELECT e.doc_id, 'near_next', a.whole = b.whole, len(list_intersect(a.codes, b.codes)), len(list_distinct(list_concat(a.met, b.met)))
   FROM e JOIN f a ON a.doc_id = e.doc_id AND a.v = 0 JOIN f b ON b.doc_id = e.next_id AND b.v = 0
 ),
 near AS (
-  SELECT doc_id, kind,
-         CASE WHEN m = 0 THEN CASE WHEN same THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE n::DOUBLE / m END AS value
-  FROM (
-    SELECT doc_id, kind, same,
-           len([i FOR i IN range(1, 33) IF x[i] <> '' OR y[i] <> '']) AS m,
-           len([i FOR i IN range(1, 33) IF x[i] <> '' AND x[i] = y[i]]) AS n
-    FROM pairs
-  )
+  SELECT doc_id, kind, CASE WHEN m = 0 THEN CASE WHEN same THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE n::DOUBLE / m END AS value FROM pairs
 )
 SELECT e.doc_id, CAST(length(e.text) AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256,
        a.fingerprint, b.fingerprint AS edited_fingerprint, c.value AS near_edited, o.value AS near_next

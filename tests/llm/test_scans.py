@@ -17,7 +17,7 @@ from tallyguard.llm import decontaminate, entries, imatch, language, licenses, s
 # ------------------------------------------------------------------------------------------------ fingerprints
 
 
-def plain_fingerprints(found, low, high, subsets, thin, least):
+def plain_fingerprints(found, low, high, subsets, least):
     import hashlib
 
     def md5(x):
@@ -31,18 +31,18 @@ def plain_fingerprints(found, low, high, subsets, thin, least):
 
     def mark(text):
         own = [t for t in terms(text) if t in lexicon]
-        subs = []
-        for j in range(subsets):
-            kept = [t for t in own if int(md5(f"{j // 16}:{t}")[2 * (j % 16) :][:2], 16) < 256 // thin]
-            subs.append(md5(" ".join(kept))[:10] if kept and len(own) >= least else "")
-        return ".".join(subs) if any(subs) else "=" + md5(" ".join(terms(text)))
+        subs = {}
+        for term in own if len(own) >= least else []:
+            subs.setdefault(int(md5(term)[:4], 16) % subsets, []).append(term)
+        hashes = [f"{j}:{md5(f'{j}:' + ' '.join(kept))[:10]}" for j, kept in sorted(subs.items())]
+        return ".".join(hashes) if hashes else "=" + md5(" ".join(terms(text)))
 
     return mark
 
 
 def test_imatch(spark):
     found = [(i, t if t is None else t.replace("_", " "), *r) for i, t, *r in rows(7, 60) if i is not None][:-2]
-    options = {"low": 0.05, "high": 0.6, "subsets": 20, "thin": 4, "least": 2}
+    options = {"low": 0.05, "high": 0.6, "subsets": 20, "least": 2}
     result = imatch.fingerprints(clashing(table(spark, found)), **options, ranges=7)
     result = result.withColumns({c: imatch.fingerprint_text(c) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")})
     mark = plain_fingerprints(found, **options)
@@ -58,6 +58,17 @@ def test_imatch(spark):
         assert got.edited_fingerprint == mark(text[: len(text) - half] + following[:half])
 
 
+def test_imatch_deals_a_hot_doc_id_to_several_ranges(spark):
+    found = [(5 if i % 3 else None if i % 2 else i, f"text {i} " + "word " * (i % 7), "en", "s", 1) for i in range(600)]
+    ranged = imatch.in_ranges(table(spark, found), 12).filter("copy = 0")
+    sizes = [r["count"] for r in ranged.groupBy("bucket").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) < 150
+    order = ranged.select("bucket", "place.*", "text", "next").collect()
+    order.sort(key=lambda r: (r.named, r.id, r.tie))
+    assert [r.bucket for r in order] == sorted(r.bucket for r in order)
+    assert [r.next for r in order] == [r.text for r in [*order[1:], order[0]]]
+
+
 def test_imatch_awkward_tables(spark):
     result = imatch.fingerprints(table(spark, rows(8))).withColumn("near", imatch.likeness("fingerprint", "fingerprint"))
     assert result.count() == len(rows(8)) and {r.near for r in result.collect()} == {1.0}
