@@ -26,7 +26,7 @@ import string
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.llm.common import plain, text_key
@@ -45,6 +45,7 @@ _LIKELY = r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]
 
 _TOKEN = re.compile(r"\S+")
 _EDGES = "\"'`,;:.()[]{}<>!?*%$#&="
+_GROUPED = re.compile("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}").fullmatch
 _NAMES = re.compile(r"pass|pwd|secret|token|key|auth|cred|bearer|akia|private|signature|session", re.IGNORECASE)
 
 
@@ -101,6 +102,8 @@ def shape(token: str) -> tuple[int, ...]:
         on.append(37)
     if _NAMES.search(core) and n < 24:
         on.append(38)
+    if _GROUPED(core):
+        on.append(39)
     return tuple(on)
 
 
@@ -237,6 +240,11 @@ def _made_up(rng: random.Random) -> str:
     return rng.choice(["", "", "sk_", "ghp_", "AKIA", "key-"]) + "".join(rng.choices(letters, k=rng.randint(20, 48)))
 
 
+def _uuid(rng: random.Random) -> str:
+    """An identifier that is no secret: digits and letters in groups of fixed sizes."""
+    return "-".join("".join(rng.choices(string.hexdigits[:16], k=k)) for k in (8, 4, 4, 4, 12))
+
+
 def _stretches(texts: list[str], reach: int = 10) -> list[tuple[str, list[str], list[int]]]:
     """(text, tokens, tags) around tagged tokens, or of a text's beginning, and with random secrets put in."""
     rng, found = random.Random(7), []
@@ -260,7 +268,7 @@ def _stretches(texts: list[str], reach: int = 10) -> list[tuple[str, list[str],
                 marks = [OUT] * place + [OUT] * len(name) + [BEGIN] + [OUT] * (len(clean) - place)
                 found.append((text, new, marks))
             if rng.random() < 0.3 and clean:  # words and numbers that only look odd
-                odd = rng.choice(["2024-05-01T12:30:00Z", "https://mail3.example.com/a/b?id=77", "55@mail9.example.com", "internationalisation", "1,234,567.89", "v2.13.4-rc1", "+1-202-555-0143"])
+                odd = rng.choice(["2024-05-01T12:30:00Z", "https://mail3.example.com/a/b?id=77", "55@mail9.example.com", "internationalisation", "1,234,567.89", "v2.13.4-rc1", "+1-202-555-0143", _uuid(rng)])
                 found.append((text, [*clean[: len(clean) // 2], odd, *clean[len(clean) // 2 :]], [OUT] * (len(clean) + 1)))
     return found
 
@@ -331,20 +339,16 @@ def train(texts: list[str], steps: int = 80, decay: float = 1e-3) -> Field | Non
 def fit(docs: DataFrame, sample: int = 100) -> Field | None:
     """Train on a bounded sample: ``sample`` texts the patterns match and as many others, lowest hashes first.
 
-    Rows are counted first, so that about twice as many as are wanted reach the driver, whatever the table's size.
+    One pass over all texts finds the lowest hashes, each task keeping its ``sample`` lowest of either kind; another
+    one, without the patterns, fetches the texts that have them.
     """
-    short = plain(docs).filter("char_length(text) BETWEEN 1 AND 20000")
-    short = short.select("text", F.col("text").rlike(_LIKELY).alias("hit"), F.xxhash64("doc_id", "text").alias("h"))
-    found = {r["hit"]: r["count"] for r in short.groupBy("hit").count().collect()}
-    drawn = F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30)
-    wanted = F.lit(False)
-    for hit, count in found.items():
-        wanted = wanted | ((F.col("hit") == hit) & (drawn < min(1.0, 2 * sample / count)))
-    rows = short.filter(wanted).limit(8 * sample).collect() if found else []
-    texts = []
-    for hit in (True, False):
-        texts += [r["text"] for r in sorted((r for r in rows if r["hit"] == hit), key=lambda r: (r["h"], r["text"]))[:sample]]
-    return train(texts)
+    short = plain(docs).filter("char_length(text) BETWEEN 1 AND 20000").select("text", F.xxhash64("doc_id", "text").alias("h"))
+    lowest = Window.partitionBy("hit").orderBy("h")
+    drawn = short.select("h", F.col("text").rlike(_LIKELY).alias("hit")).withColumn("place", F.row_number().over(lowest))
+    hits = {r["h"]: r["hit"] for r in drawn.filter(F.col("place") <= sample).collect()}
+    found = short.filter(F.col("h").isin(list(hits))).groupBy("h").agg(F.min("text").alias("text")).collect() if hits else []
+    found = sorted(found, key=lambda r: (not hits[r["h"]], r["h"]))
+    return train([r["text"] for r in found])
 
 
 # ---------------------------------------------------------------------------------------------------- scanning
