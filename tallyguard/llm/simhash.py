@@ -18,6 +18,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +31,8 @@ from tallyguard.plans.scratch import write_once
 SEED = 42
 #: fingerprints under a signature from which on it is refined; results do not depend on it
 CROWD = 4096
+#: bytes of a signature's row, and how many of them a task makes
+ENTRY_BYTES, TASK_BYTES = 24, 16 << 20
 #: (lowest bit, width) of the pieces that the 32, then 24, then 18 bits are cut into which may still differ
 CUTS = (
     ((0, 8), (8, 8), (16, 8), (24, 8)),
@@ -154,7 +158,10 @@ def links(fps: DataFrame, distance: int = 3, crowd: int = CROWD) -> DataFrame:
     """Edges ``u`` > ``v`` whose connected groups are those of all links; ``fps`` holds different fingerprints."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments and one wildcard find distances up to 3")
-    entries = fps.select("fp", F.explode(F.array(*_signatures())).alias("s")).select(
+    fps = write_once(fps, "distinct-fingerprints")
+    # the table is small where its signatures are not: deal it by what comes out
+    spread = max(1, math.ceil(64 * ENTRY_BYTES * fps.count() / TASK_BYTES))
+    entries = fps.repartition(spread, "fp").select("fp", F.explode(F.array(*_signatures())).alias("s")).select(
         F.shiftleft("s.part", 6).bitwiseOR(F.col("s.number")).alias("group"), F.col("s.number").alias("number"), "fp"
     )
     other = F.when(F.col("number") < 32, F.col("fp").bitwiseAND(0xFFFFFFFF)).otherwise(F.shiftrightunsigned("fp", 32))
