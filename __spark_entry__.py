@@ -198,7 +198,7 @@ def _overlap_iqr(ws: Workspace) -> DataFrame:
 
 def _saved_forest(ws: Workspace) -> DataFrame:
     return ws.forest.to_frame(ws.raw.sparkSession).select(
-        "tree", "depth", "sample_rows", F.size("feature").alias("nodes"), F.round(F.array_max("path"), 6).alias("longest_path")
+        "tree", "depth", "sample_rows", F.size("feature").alias("nodes"), F.round(F.array_max("path") / forest.PATH_UNITS, 6).alias("longest_path")
     )
 
 
@@ -430,12 +430,23 @@ def queries() -> dict[str, Query]:
         "run_tiers": _run_output(
             lambda s, out, ws: files.read_csv(s, f"{out}/processed/tiers", aggregates.tier_summary(ws.flagged).schema)
         ),
-        # model: rows only, no SQL form
+        # model
         "iforest_trees": _saved_forest,
         "iforest_scores": lambda ws: ws.enriched.select("transaction_id", "ml_iso_forest_flag", "ml_anomaly_score"),
-        "enriched": lambda ws: ws.enriched,
+        "enriched": lambda ws: _rounded(
+            ws.enriched,
+            {"dept_baseline_mean": 6, "log_amount": 6, "threshold_dist": 2, "iqr_upper_bound": 4, "stat_zscore": 4},
+        ),
         "fact_with_ml": lambda ws: star.fact(ws.enriched),
         "top50": lambda ws: priority.priority_ledger(ws.enriched, 50),
+        "top15_ml": lambda ws: priority.priority_ledger(ws.enriched, 15),
+        "top10_ml": lambda ws: priority.priority_ledger(ws.enriched, 10),
+        "narrative_with_ml": lambda ws: priority.with_narrative(ws.enriched).select(
+            "transaction_id", "audit_investigation_narrative"
+        ),
+        "outlier_counts_with_ml": lambda ws: outliers.outlier_counts(
+            ws.enriched, ("stat_iqr_flag", "stat_zscore_flag", "ml_iso_forest_flag")
+        ),
         "correlation_with_ml": lambda ws: agreement.detector_correlation(ws.enriched, agreement.detector_flags()),
         "backtest_with_ml": lambda ws: agreement.backtest(ws.enriched, agreement.detector_flags(truth=False)),
         "measures_with_ml": lambda ws: measures.measure(ws.enriched, list(measures.MEASURES)),

@@ -238,6 +238,131 @@ _MEASURES = """
   count(*) FILTER (WHERE flag_spend_spike = 1) AS statistical_spikes_count"""
 
 
+_FEATURES = (
+    "log_amount",
+    "dept_spend_multiplier",
+    "is_weekend",
+    "is_clean_round_sum",
+    "is_structuring_candidate",
+    "day_of_week",
+)
+_K = range(len(_FEATURES))
+_TREES, _SAMPLE, _DEPTH, _SEED = 150, 256, 8, 42
+_CELLS = ", ".join(f"f{k}" for k in _K)
+
+
+def _drawn(*parts: str) -> str:
+    """Thirteen digits of an MD5 digest as a number."""
+    return "CAST('0x' || substring(md5(" + " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts) + "), 1, 13) AS BIGINT)"
+
+
+def _share(*parts: str) -> str:
+    return f"({_drawn(*parts)} / 4503599627370496::DOUBLE)"
+
+
+def _expected(n: str) -> str:
+    """Mean depth of an unsuccessful search in a binary search tree."""
+    return (
+        f"CASE WHEN {n} <= 1 THEN 0::DOUBLE WHEN {n} = 2 THEN 1::DOUBLE "
+        f"ELSE 2 * (ln({n}::DOUBLE - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n}::DOUBLE - 1) / {n} END"
+    )
+
+
+def _forest_levels() -> str:
+    """Trees grown level by level: all nodes of one depth are one grouped query over the rows that reached them."""
+    parts = []
+    for depth in range(_DEPTH + 1):
+        lows, highs = (f"[{', '.join(f'{f}(f{k})' for k in _K)}]" for f in ("min", "max"))
+        parts.append(
+            f"""reached{depth} AS (SELECT tree, node, count(*) AS n, {lows} AS lows, {highs} AS highs FROM inside{depth} GROUP BY tree, node),
+opened{depth} AS (SELECT *, [k FOR k IN range(0, {len(_K)}) IF highs[k + 1] > lows[k + 1]] AS open FROM reached{depth}),
+drawn{depth} AS (
+  SELECT tree, node, n, lows, highs,
+         CASE WHEN {depth} < {_DEPTH} AND n > 1 AND len(open) > 0
+              THEN open[{_drawn(str(_SEED), "tree", "node", "'feature'")} % len(open) + 1] END AS feature,
+         {_share(str(_SEED), "tree", "node", "'cut'")} AS share
+  FROM opened{depth}
+),
+nodes{depth} AS MATERIALIZED (
+  SELECT tree, node, feature, lows[feature + 1] + share * (highs[feature + 1] - lows[feature + 1]) AS cut,
+         CASE WHEN feature IS NULL THEN CAST(round(({depth} + {_expected("n")}) * 1e9) AS BIGINT) END AS path
+  FROM drawn{depth}
+)"""
+        )
+        if depth < _DEPTH:
+            parts.append(
+                f"""inside{depth + 1} AS (
+  SELECT i.tree, 2 * i.node + CASE WHEN [{_CELLS}][s.feature + 1] > s.cut THEN 1 ELSE 0 END AS node, {_CELLS}
+  FROM inside{depth} i JOIN nodes{depth} s ON s.tree = i.tree AND s.node = i.node WHERE s.feature IS NOT NULL
+)"""
+            )
+    return ",\n".join(parts)
+
+
+def _scored(name: str, source: str) -> str:
+    """``{name}`` (transaction_id, score) of the rows of ``source``: each row goes down each tree, and stays in its leaf."""
+    scaled = ", ".join(f"({f} - m{k}) / s{k} AS f{k}" for k, f in enumerate(_FEATURES))
+    steps = [f"{name}_0 AS (SELECT transaction_id, CAST(t AS INTEGER) AS tree, 1 AS node, {scaled} FROM {source}, scaling, range({_TREES}) x(t))"]
+    for depth in range(_DEPTH):
+        right = "CASE s.feature " + " ".join(f"WHEN {k} THEN f{k}" for k in _K) + " END > s.cut"
+        steps.append(
+            f"""{name}_{depth + 1} AS (
+  SELECT i.transaction_id, i.tree, {_CELLS},
+         CASE WHEN s.feature IS NULL THEN i.node ELSE 2 * i.node + CASE WHEN {right} THEN 1 ELSE 0 END END AS node
+  FROM {name}_{depth} i JOIN nodes s ON s.tree = i.tree AND s.node = i.node
+)"""
+        )
+    steps.append(
+        f"""{name} AS MATERIALIZED (
+  SELECT i.transaction_id, pow(2::DOUBLE, -(sum(s.path)::DOUBLE / 1e9 / {_TREES}) / (SELECT {_expected("sample_rows")} FROM scaling)) AS score
+  FROM {name}_{_DEPTH} i JOIN nodes s ON s.tree = i.tree AND s.node = i.node GROUP BY i.transaction_id
+)"""
+    )
+    return ",\n".join(steps)
+
+
+_VERDICT = """CASE WHEN s.score > c.cut THEN 1 ELSE 0 END AS ml_iso_forest_flag,
+         CASE WHEN c.high > c.low THEN round_even((s.score - c.low) / (c.high - c.low) * 100, 1) ELSE 0::DOUBLE END AS ml_anomaly_score"""
+
+TREES = (
+    STATS
+    + f""",
+scaling AS MATERIALIZED (
+  SELECT count(*) AS n, least(count(*), {_SAMPLE}) AS sample_rows,
+         {", ".join(f"CAST(format('{{:.9e}}', avg({f})) AS DOUBLE) AS m{k}" for k, f in enumerate(_FEATURES))},
+         {", ".join(f"CASE WHEN stddev_pop({f}) = 0 THEN 1 ELSE CAST(format('{{:.9e}}', stddev_pop({f})) AS DOUBLE) END AS s{k}" for k, f in enumerate(_FEATURES))}
+  FROM featured
+),
+placed AS (
+  SELECT transaction_id, {", ".join(f"({f} - m{k}) / s{k} AS f{k}" for k, f in enumerate(_FEATURES))},
+         {_share(str(_SEED), "transaction_id")} * {_TREES} AS place,
+         least(1::DOUBLE, {4 * _SAMPLE}::DOUBLE / n) * {_TREES} AS arc
+  FROM featured, scaling
+),
+looking AS (
+  SELECT transaction_id, {_CELLS},
+         unnest(range(greatest(CAST(ceil(place - arc) AS BIGINT), CAST(floor(place) AS BIGINT) - {_TREES - 1}), CAST(floor(place) AS BIGINT) + 1)) AS t
+  FROM placed
+),
+candidates AS (SELECT transaction_id, CAST((t % {_TREES} + {_TREES}) % {_TREES} AS INTEGER) AS tree, {_CELLS} FROM looking),
+inside0 AS MATERIALIZED (
+  SELECT tree, 1 AS node, {_CELLS} FROM candidates
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {_share(str(_SEED), "tree", "transaction_id")}, transaction_id) <= {_SAMPLE}
+),
+{_forest_levels()},
+nodes AS MATERIALIZED ({" UNION ALL ".join(f"SELECT * FROM nodes{d}" for d in range(_DEPTH + 1))})"""
+)
+ENRICHED = (
+    TREES
+    + f""",
+{_scored("scores", "featured")},
+calibration AS MATERIALIZED (SELECT quantile_cont(score, 0.955) AS cut, min(score) AS low, max(score) AS high FROM scores),
+enriched AS (
+  SELECT m.*, {_VERDICT} FROM verdicts m JOIN scores s ON s.transaction_id = m.transaction_id CROSS JOIN calibration c
+)"""
+)
+
+
 def _q(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
@@ -830,6 +955,106 @@ ORACLE["stream_rules"] = _q(
        FROM event_ledger e JOIN means m ON e.department = m.department""",
 )
 
+# --------------------------------------------------------------------------------------------------- model
+_ML = "ml_iso_forest_flag, ml_anomaly_score"
+_FIVE = ("rules", "iqr", "mad", "ml_iso_forest_flag", "truth")
+
+
+def _called(detector: str) -> str:
+    return "forest" if detector == "ml_iso_forest_flag" else detector
+
+
+ORACLE["iforest_trees"] = _q(
+    TREES,
+    f"""SELECT tree, {_DEPTH} AS depth, CAST(any_value(sample_rows) AS INTEGER) AS sample_rows, CAST(count(*) AS INTEGER) AS nodes,
+               round(max(path) / 1e9, 6) AS longest_path FROM nodes, scaling GROUP BY tree""",
+)
+ORACLE["iforest_scores"] = _q(ENRICHED, f"SELECT transaction_id, {_ML} FROM enriched")
+ORACLE["enriched"] = _q(
+    ENRICHED,
+    f"""SELECT {_STAGED_OUT}, ground_truth_anomaly, ground_truth_type, round(dept_baseline_mean, 6) AS dept_baseline_mean,
+               dept_spend_multiplier, {_FLAGS}, total_rules_triggered, risk_score, risk_tier, primary_flag_reason,
+               round(log_amount, 6) AS log_amount, round(threshold_dist, 2) AS threshold_dist, is_structuring_candidate,
+               first_digit, is_clean_round_sum, stat_iqr_flag, round(iqr_upper_bound, 4) AS iqr_upper_bound,
+               round(stat_zscore, 4) AS stat_zscore, stat_zscore_flag, {_ML} FROM enriched""",
+)
+ORACLE["fact_with_ml"] = _q(ENRICHED, ORACLE["fact"].split(STATS)[1].replace("FROM measured", f", {_ML} FROM enriched"))
+_TOP_ML = "ORDER BY risk_score DESC, ml_anomaly_score DESC, amount DESC, transaction_id LIMIT {k}"
+_NARRATIVE_ML = _NARRATIVE.replace(
+    "'Unusual clean round-sum retainer billing' END",
+    """'Unusual clean round-sum retainer billing' END,
+    CASE WHEN ml_iso_forest_flag = 1 THEN 'High ML Isolation Forest score (' || format('{:.1f}', ml_anomaly_score) || '/100)' END""",
+)
+for _k in (50, 15, 10):
+    ORACLE["top50" if _k == 50 else f"top{_k}_ml"] = _q(
+        ENRICHED,
+        f"""SELECT transaction_id, CAST(transaction_date AS VARCHAR) AS transaction_date, department, vendor_name, amount,
+                   risk_tier, risk_score, ml_anomaly_score, primary_flag_reason,
+                   {_NARRATIVE_ML} AS audit_investigation_narrative FROM enriched """
+        + _TOP_ML.format(k=_k),
+    )
+ORACLE["narrative_with_ml"] = _q(
+    ENRICHED, f"SELECT transaction_id, {_NARRATIVE_ML} AS audit_investigation_narrative FROM enriched"
+)
+ORACLE["outlier_counts_with_ml"] = _q(
+    ENRICHED,
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS method, CAST(sum({c}) AS BIGINT) AS flagged_rows,
+                   round(sum({c}) * 100.0 / count(*), 2) AS flagged_pct FROM enriched"""
+        for c in ("stat_iqr_flag", "stat_zscore_flag", "ml_iso_forest_flag")
+    ),
+)
+ORACLE["correlation_with_ml"] = _q(
+    ENRICHED.replace("enriched AS (", "enriched AS MATERIALIZED ("),
+    "\nUNION ALL\n".join(
+        f"SELECT '{_called(a)}' AS detector, '{_called(b)}' AS other, round(corr({a}, {b}), 4) AS correlation FROM enriched"
+        for a in _FIVE
+        for b in _FIVE
+    ),
+)
+ORACLE["backtest_with_ml"] = _q(
+    ENRICHED.replace("enriched AS (", "enriched AS MATERIALIZED ("),
+    "\nUNION ALL\n".join(
+        f"""SELECT ground_truth_type AS typology, '{_called(d)}' AS detector, count(*) AS label_rows,
+                   CAST(sum({d}) AS BIGINT) AS flagged_rows,
+                   CASE WHEN ground_truth_type <> 'BENIGN_NORMAL' THEN round(sum({d}) * 1.0 / count(*), 4) END AS recall
+            FROM enriched GROUP BY ground_truth_type"""
+        for d in _FIVE[:-1]
+    ),
+)
+ORACLE["measures_with_ml"] = _q(
+    ENRICHED, f"SELECT {_MEASURES}, count(*) FILTER (WHERE ml_iso_forest_flag = 1) AS ml_detections FROM enriched"
+)
+ORACLE["rpt_rules_against_model"] = _q(
+    ENRICHED, "SELECT rules, ml_iso_forest_flag AS forest, count(*) AS overlap_rows FROM enriched GROUP BY 1, 2"
+)
+ORACLE["investigation_with_ml"] = _q(
+    ENRICHED,
+    """SELECT transaction_id, CAST(transaction_date AS VARCHAR) AS transaction_date, department, vendor_name, amount,
+              risk_score, ml_anomaly_score, risk_tier, primary_flag_reason, approver_id, invoice_number
+       FROM enriched WHERE risk_tier IN ('Critical', 'High')""",
+)
+ORACLE["stream_forest_screen"] = _q(
+    ENRICHED
+    + ","
+    + EVENTS
+    + f""",
+means AS (SELECT department, avg(amount) AS mean FROM event_ledger GROUP BY department),
+screened AS (
+  SELECT transaction_id, transaction_date, vendor_id, amount, ln(1 + amount) AS log_amount,
+         round(amount / mean, 2) AS dept_spend_multiplier,
+         CASE WHEN dayofweek(transaction_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+         CASE WHEN amount >= 1000 AND amount % 1000 = 0 THEN 1 ELSE 0 END AS is_clean_round_sum,
+         CASE WHEN (amount >= 4800 AND amount < 5000) OR (amount >= 9500 AND amount < 10000)
+                   OR (amount >= 48000 AND amount < 50000) THEN 1 ELSE 0 END AS is_structuring_candidate,
+         dayofweek(transaction_date) AS day_of_week
+  FROM event_ledger e JOIN means m ON e.department = m.department
+),
+{_scored("screen_scores", "screened")}""",
+    f"""SELECT e.transaction_id, CAST(transaction_date AS VARCHAR) AS transaction_date, vendor_id, amount, {_VERDICT}
+        FROM screened e JOIN screen_scores s ON s.transaction_id = e.transaction_id CROSS JOIN calibration c""",
+)
+
 # ------------------------------------------------------------------------- round trips and a run's outputs
 for _name, _same_as in {
     "source_ledger_csv": "stage_ledger",

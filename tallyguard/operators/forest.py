@@ -1,11 +1,14 @@
 """Isolation forest (Liu, Ting and Zhou, "Isolation Forest", ICDM 2008) on Spark.
 
-The only Python in the engine: each tree is grown from its own small sample in a grouped map, and rows are
-scored batch by batch with numpy. Samples depend on hashes of the row id, never on partitions.
+Each tree is grown from its own small sample in a grouped map, and rows are scored batch by batch with numpy. Samples,
+split features and split points come from MD5 digests of the seed, the tree and the row id or the node, never from
+partitions or a generator's state, so that any engine that knows MD5 grows the same trees. Path lengths are whole
+numbers of 1e-9 and add up alike in any order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Sequence
@@ -25,7 +28,11 @@ from tallyguard.plans.scratch import write_once
 # the functions of this module travel to the executors as code, which need not have the package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_HASH_RANGE = float(2**63)
+#: hexadecimal digits of a digest that are used, and how many values they have: exact in a double
+_DIGITS = 13
+_HASH_RANGE = float(16**_DIGITS)
+#: path lengths are counted in parts of one step
+PATH_UNITS = 1e9
 _EULER = 0.5772156649015329
 
 
@@ -125,8 +132,14 @@ def standardize(df: DataFrame, features: Sequence[str] = FOREST_FEATURES) -> Dat
 
 
 def _unit_hash(*columns: Column) -> Column:
-    """Uniform in [0, 1) from the hash of the columns."""
-    return F.xxhash64(*columns).bitwiseAND(F.lit(2**63 - 1)) / F.lit(_HASH_RANGE)
+    """Uniform in [0, 1) from the digest of the columns, joined by colons."""
+    digest = F.md5(F.concat_ws(":", *[c.cast("string") for c in columns]))
+    return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("long") / F.lit(_HASH_RANGE)
+
+
+def _digest(*parts) -> int:
+    """The same digits of the same digest, outside of Spark."""
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:_DIGITS], 16)
 
 
 def _tree_samples(df: DataFrame, id_col: str, rows: int, config: AuditConfig) -> DataFrame:
@@ -156,24 +169,27 @@ def _tree_samples(df: DataFrame, id_col: str, rows: int, config: AuditConfig) ->
 
 
 def _grow(points: np.ndarray, seed: int, tree: int, depth_limit: int):
-    """One tree, breadth first; the two children of a node are neighbours in the arrays."""
-    rng = np.random.default_rng([seed, tree])
+    """One tree, breadth first; the two children of a node are neighbours in the arrays.
+
+    What is drawn at a node depends on its number: 1 for the root, 2n and 2n + 1 for the children of n.
+    """
     feature, threshold, left, path = [0], [np.inf], [0], [0.0]
-    queue = [(0, points, 0)]
+    queue = [(0, 1, points, 0)]
     while queue:
-        node, inside, depth = queue.pop(0)
+        node, number, inside, depth = queue.pop(0)
         low, high = inside.min(axis=0), inside.max(axis=0)
         open_features = np.flatnonzero(high > low)
         if depth >= depth_limit or len(inside) <= 1 or len(open_features) == 0:
             left[node] = node
-            path[node] = depth + average_path(len(inside))
+            path[node] = float(round((depth + average_path(len(inside))) * PATH_UNITS))
             continue
-        chosen = int(open_features[rng.integers(len(open_features))])
-        cut = float(rng.uniform(low[chosen], high[chosen]))
+        chosen = int(open_features[_digest(seed, tree, number, "feature") % len(open_features)])
+        share = _digest(seed, tree, number, "cut") / _HASH_RANGE
+        cut = float(low[chosen] + share * (high[chosen] - low[chosen]))
         goes_right = inside[:, chosen] > cut
         feature[node], threshold[node], left[node] = chosen, cut, len(feature)
-        for part in (inside[~goes_right], inside[goes_right]):
-            queue.append((len(feature), part, depth + 1))
+        for side, part in enumerate((inside[~goes_right], inside[goes_right])):
+            queue.append((len(feature), 2 * number + side, part, depth + 1))
             feature.append(0)
             threshold.append(np.inf)
             left.append(0)
@@ -225,7 +241,7 @@ def path_score(forest: Forest) -> Column:
                 goes_right = values.take(offset.take(node) + position) > threshold.take(node)
                 node = left.take(node) + goes_right
             total += path.take(node)
-        return pd.Series(np.exp2(-(total / len(trees)) / expected))
+        return pd.Series(np.exp2(-(total / PATH_UNITS / len(trees)) / expected))
 
     return score(*[forest.scaling.apply(name) for name in forest.features])
 
