@@ -63,6 +63,8 @@ if _present("tallyguard.llm"):
         if corpus_pipeline.ORACLE_SQL is not None:
             TEXT_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
+#: digits of computed columns that are compared
+ENRICHED_DIGITS = {"dept_baseline_mean": 6, "log_amount": 6, "threshold_dist": 2, "iqr_upper_bound": 4, "stat_zscore": 4}
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 
@@ -251,6 +253,54 @@ def _fact_folder(ws: Workspace) -> DataFrame:
     return spark.read.parquet(path).select(*fact.columns)
 
 
+def _enriched_csv(ws: Workspace) -> DataFrame:
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "enriched")
+    files.write_csv(ws.enriched, path)
+    return _rounded(files.read_enriched_csv(spark, path), ENRICHED_DIGITS)
+
+
+def _appended(ws: Workspace) -> DataFrame:
+    """Three batches of the staged ledger, of which one is sent twice."""
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "batches")
+    third = F.col("transaction_year") % 3
+    for number in (0, 1, 1, 2):
+        files.append_batch(ws.staged.where(third == number), path, f"b{number}")
+    return spark.read.parquet(path).select(*ws.staged.columns)
+
+
+def _refreshed(ws: Workspace) -> DataFrame:
+    """The flagged ledger by month, of which one year was written wrongly and is written again; files by their state."""
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "months")
+    wrong = F.col("transaction_year") == 1996
+    files.write_parquet(ws.flagged.withColumn("amount", F.when(wrong, 0.0).otherwise(F.col("amount"))), path, audit_run.MONTHS)
+    before = {row[0] for row in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+    files.refresh_parts(ws.flagged.where(wrong), path, audit_run.MONTHS)
+    kept = F.col("_metadata.file_path").isin(*before).cast("int")
+    return (
+        spark.read.parquet(path)
+        .groupBy("transaction_year", "transaction_month")
+        .agg(F.round(F.sum("amount"), 2).alias("spend"), F.count(F.lit(1)).alias("transactions"), F.min(kept).alias("kept_files"))
+    )
+
+
+def _faulty_feed(ws: Workspace) -> DataFrame:
+    """The raw feed as CSV with dates and amounts that are none and without some departments, read back."""
+    spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "faulty")
+    at = F.col("ingest_seq")
+    faults = {
+        "transaction_date": F.when(at % 101 == 0, "31/31/1996").otherwise(F.col("transaction_date")),
+        "amount": F.when(at % 107 == 0, "n/a").otherwise(F.col("amount").cast("string")),
+        "department": F.when(at % 103 != 0, F.col("department")),
+    }
+    files.write_csv(ws.raw.withColumns(faults).select(*schemas.RAW_LEDGER.names), path)
+    return files.read_ledger_csv(spark, path)
+
+
+def _faulty_counts(ws: Workspace) -> DataFrame:
+    feed = _faulty_feed(ws)
+    return staging.row_counts(feed, staging.stage(feed), staging.quarantine(feed))
+
+
 def _run_output(read: Callable[[SparkSession, str, Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
     """A table that a whole run left behind, read back; the run is made once for each ledger."""
 
@@ -391,6 +441,19 @@ def queries() -> dict[str, Query]:
         "measures_by_department": lambda ws: _measures(ws, ["department"]),
         "measures_by_month": lambda ws: _measures(ws, ["transaction_year", "transaction_month"]),
         "measures_sliced": _measures_sliced,
+        "measures_by_vendor_slice": lambda ws: measures.measure(
+            measures.slice_ledger(ws.flagged, vendors=["VND-3", "VND-5", "VND-8"]), measures.RULE_MEASURES, ["vendor_id"]
+        ),
+        "measures_by_reason_slice": lambda ws: measures.measure(
+            measures.slice_ledger(ws.flagged, reasons=["Suspicious Round-Sum Billing", "Extreme Statistical Spend Outlier"]),
+            measures.RULE_MEASURES,
+            ["primary_flag_reason"],
+        ),
+        "measures_by_approver_slice": lambda ws: measures.measure(
+            measures.slice_ledger(ws.flagged, approvers=["EMP-MAC-0", "EMP-BUI-1"], departments=["MACHINERY", "BUILDING"]),
+            measures.RULE_MEASURES,
+            ["approver_id"],
+        ),
         "yoy_spend": lambda ws: measures.same_period_last_year(ws.flagged),
         "mom_spend": lambda ws: measures.month_over_month(ws.flagged),
         "yoy_spend_by_year": lambda ws: measures.same_period_last_year(ws.flagged, grain="year"),
@@ -420,6 +483,11 @@ def queries() -> dict[str, Query]:
         "source_ledger_parquet": _parquet_feed,
         "source_vendor_csv": _vendor_csv,
         "source_flagged": _flagged_folder,
+        "source_enriched_csv": _enriched_csv,
+        "source_faulty_quarantine": lambda ws: staging.quarantine(_faulty_feed(ws)).select("transaction_id", "missing_columns"),
+        "source_faulty_counts": _faulty_counts,
+        "sink_append_batches": _appended,
+        "sink_refresh_months": _refreshed,
         "sink_view": _staged_view,
         "sink_fact_by_month": _fact_folder,
         "sink_investigation_csv": lambda ws: _back_from_csv(reports.investigation_ledger(ws.flagged, ml=False), "grid"),
@@ -435,7 +503,7 @@ def queries() -> dict[str, Query]:
         "iforest_scores": lambda ws: ws.enriched.select("transaction_id", "ml_iso_forest_flag", "ml_anomaly_score"),
         "enriched": lambda ws: _rounded(
             ws.enriched,
-            {"dept_baseline_mean": 6, "log_amount": 6, "threshold_dist": 2, "iqr_upper_bound": 4, "stat_zscore": 4},
+            ENRICHED_DIGITS,
         ),
         "fact_with_ml": lambda ws: star.fact(ws.enriched),
         "top50": lambda ws: priority.priority_ledger(ws.enriched, 50),

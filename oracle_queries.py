@@ -794,6 +794,16 @@ ORACLE["measures_sliced"] = _q(
         WHERE year(transaction_date) IN (1996, 1997) AND quarter(transaction_date) IN (1, 4)
           AND risk_tier IN ('High', 'Critical') GROUP BY department""",
 )
+for _name, _key, _values in (
+    ("vendor", "vendor_id", "'VND-3', 'VND-5', 'VND-8'"),
+    ("reason", "primary_flag_reason", "'Suspicious Round-Sum Billing', 'Extreme Statistical Spend Outlier'"),
+    ("approver", "approver_id", "'EMP-MAC-0', 'EMP-BUI-1'"),
+):
+    ORACLE[f"measures_by_{_name}_slice"] = _q(
+        FLAGGED,
+        f"""SELECT {_key}, {_MEASURES} FROM flagged WHERE {_key} IN ({_values})
+            {"AND department IN ('MACHINERY', 'BUILDING')" if _name == "approver" else ""} GROUP BY {_key}""",
+    )
 _MONTHS = """, months AS (SELECT CAST(year(transaction_date) AS INTEGER) AS y,
                                  CAST(month(transaction_date) AS INTEGER) AS m, sum(amount) AS spend
                           FROM flagged GROUP BY 1, 2)
@@ -1055,11 +1065,40 @@ screened AS (
         FROM screened e JOIN screen_scores s ON s.transaction_id = e.transaction_id CROSS JOIN calibration c""",
 )
 
+# --------------------------------------------------------------------------------------------------- faulty feed, refresh
+_FAULTY = RAW + """,
+faulty AS (
+  SELECT *, ingest_seq % 101 = 0 AS no_date, ingest_seq % 107 = 0 AS no_amount, ingest_seq % 103 = 0 AS no_department,
+         row_number() OVER (PARTITION BY transaction_id ORDER BY ingest_seq) AS arrival
+  FROM raw
+),
+held AS (
+  SELECT transaction_id,
+         concat_ws(',', CASE WHEN no_date THEN 'transaction_date,transaction_year,transaction_month,day_of_week,day_name' END,
+                   CASE WHEN no_department THEN 'department' END, CASE WHEN no_amount THEN 'amount' END) AS missing_columns
+  FROM faulty WHERE arrival = 1 AND (no_amount OR amount > 0) AND (no_date OR no_amount OR no_department)
+)"""
+ORACLE["source_faulty_quarantine"] = _q(_FAULTY, "SELECT * FROM held")
+ORACLE["source_faulty_counts"] = _q(
+    _FAULTY,
+    """SELECT count(*) AS raw_rows,
+              count(*) FILTER (WHERE arrival = 1 AND amount > 0 AND NOT (no_date OR no_amount OR no_department)) AS staged_rows,
+              (SELECT count(*) FROM held) AS quarantined_rows, count(*) FILTER (WHERE arrival > 1) AS repeated_rows,
+              count(*) FILTER (WHERE arrival = 1 AND amount <= 0 AND NOT no_amount) AS dropped_rows FROM faulty""",
+)
+ORACLE["sink_refresh_months"] = _q(
+    FLAGGED,
+    """SELECT transaction_year, transaction_month, round(sum(amount), 2) AS spend, count(*) AS transactions,
+              CASE WHEN transaction_year = 1996 THEN 0 ELSE 1 END AS kept_files FROM flagged GROUP BY 1, 2""",
+)
+
 # ------------------------------------------------------------------------- round trips and a run's outputs
 for _name, _same_as in {
     "source_ledger_csv": "stage_ledger",
     "source_ledger_parquet": "stage_ledger",
     "source_vendor_csv": "vendor_master",
+    "source_enriched_csv": "enriched",
+    "sink_append_batches": "stage_ledger",
     "source_flagged": "flagged",
     "sink_view": "stage_ledger",
     "sink_fact_by_month": "fact",

@@ -12,7 +12,7 @@ from tallyguard.config import BENIGN_LABEL, LOWEST_TIER
 from tallyguard.functions.calendar import period_label
 from tallyguard.functions.money import cents, count_where, money_avg, money_sum, share_pct
 from tallyguard.plans.quantiles import exact_quantiles
-from tallyguard.plans.small_side import attach_group_values
+from tallyguard.plans.small_side import attach_group_values, settle
 
 
 def _rows(name: str) -> Column:
@@ -58,7 +58,7 @@ def vendor_concentration(staged: DataFrame, k: int = 25) -> DataFrame:
     The cumulative share of a spend counts everyone who spends as much or more, so equal spends share a value.
     Only the k largest distinct spends are needed for it; vendors are never ordered in one task.
     """
-    totals = vendor_totals(staged)
+    totals = settle(vendor_totals(staged), "vendors")  # the ledger is read once
     top = totals.orderBy(F.desc("_cents"), "vendor_id", "department").limit(k)
     levels = totals.groupBy("_cents").agg(F.sum("_cents").alias("_level")).orderBy(F.desc("_cents")).limit(k)
     down_to = Window.orderBy(F.desc("_cents")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -103,7 +103,7 @@ def monthly_velocity(staged: DataFrame) -> DataFrame:
 
 
 def payment_exposure(staged: DataFrame) -> DataFrame:
-    methods = staged.groupBy("payment_method").agg(_rows("total_transactions"), F.sum(cents()).alias("_cents"))
+    methods = settle(staged.groupBy("payment_method").agg(_rows("total_transactions"), F.sum(cents()).alias("_cents")))
     total = methods.agg(F.sum("_cents")).scalar()
     return (
         methods.withColumn("_total", total)
@@ -177,6 +177,7 @@ def monthly_flagged(flagged: DataFrame) -> DataFrame:
 
 
 def _with_share(counts: DataFrame, count_col: str, share_col: str) -> DataFrame:
+    counts = settle(counts)
     total = counts.agg(F.sum(count_col)).scalar()
     return (
         counts.withColumn("_total", total)

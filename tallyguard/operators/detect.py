@@ -27,7 +27,7 @@ def duplicate_invoices(staged: DataFrame) -> DataFrame:
         narrow, repeats, DUPLICATE_KEY, "invoice_rows", "transaction_id", "inner", settled=True
     )
     numbered = ordered_windows(
-        members, DUPLICATE_KEY, ["transaction_date", "transaction_id"], number="duplicate_instance_num"
+        write_once(members, "members"), DUPLICATE_KEY, ["transaction_date", "transaction_id"], number="duplicate_instance_num"
     )
     return numbered.select(
         *narrow.columns, "duplicate_instance_num", F.col("invoice_rows").alias("total_duplicate_occurrences")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.config import LOWEST_TIER
 from tallyguard.functions.money import cents, count_where, money_avg, money_sum, safe_ratio
+from tallyguard.plans.small_side import settle
 
 
 def _tier(*names: str) -> Column:
@@ -98,7 +99,8 @@ def _period_cents(df: DataFrame, by: Sequence[str], grain: str) -> tuple[list[st
     parts = {"Year": F.year("transaction_date"), "MonthNumber": F.month("transaction_date")}
     names = ["Year"] if grain == "year" else ["Year", "MonthNumber"]
     columns = [parts[name].alias(name) for name in names]
-    return [*by, *names], df.groupBy(*by, *columns).agg(F.sum(cents()).alias("_cents"))
+    periods = df.groupBy(*by, *columns).agg(F.sum(cents()).alias("_cents"))
+    return [*by, *names], settle(periods, "periods")  # joined with itself: the ledger is read once
 
 
 def same_period_last_year(df: DataFrame, by: Sequence[str] = (), grain: str = "month") -> DataFrame:

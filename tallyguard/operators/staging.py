@@ -11,6 +11,7 @@ from tallyguard.config import BENIGN_LABEL, DEFAULT_CURRENCY
 from tallyguard.functions import calendar
 from tallyguard.functions.money import clean_text
 from tallyguard.plans.ordered import ordered_windows
+from tallyguard.plans.scratch import write_once
 from tallyguard.plans.small_side import attach_group_values
 
 #: arrival order; the later columns only break ties
@@ -44,7 +45,7 @@ def dedup_rejects(df: DataFrame, key: str = "transaction_id", order: tuple[str,
     narrow = df.select(key, *order)
     groups = repeated_groups(narrow, [key], "arrivals")
     members = attach_group_values(narrow, groups, [key], "arrivals", order[0], "inner")
-    numbered = ordered_windows(members, [key], list(order), number="arrival_number")
+    numbered = ordered_windows(write_once(members, "members"), [key], list(order), number="arrival_number")
     return numbered.where(F.col("arrival_number") > 1)
 
 

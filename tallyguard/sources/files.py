@@ -80,6 +80,21 @@ def replace_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
+def append_batch(df: DataFrame, path: str, batch: str) -> None:
+    """Append a batch to a Parquet table once: sent again under the same name, it takes its own place.
+
+    A batch is a folder of the table, and Spark commits the folder as a whole.
+    """
+    rows = df.withColumn("batch", F.lit(batch))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def refresh_parts(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Replace the folders that ``df`` has rows for; files of all others stay as they are."""
+    rows = df.hint("rebalance", *partition_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
