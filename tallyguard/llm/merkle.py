@@ -54,7 +54,7 @@ def _hash(*digests: Column) -> Column:
 
 def _numbered(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
     """``nodes`` with ``idx`` from 0 along ``order`` in each group; rows alike in all of it may spread."""
-    tied = nodes.withColumn("_tie", F.monotonically_increasing_id())
+    tied = write_once(nodes.withColumn("_tie", F.monotonically_increasing_id()), "merkle-tied")
     numbered = ordered_windows(tied, [group], [*order, "_tie"], number="idx").drop("_tie")
     return write_once(numbered.withColumn("idx", F.col("idx") - 1), "merkle-nodes")
 
