@@ -1,11 +1,10 @@
-"""Removal of byte strings that occur more than once, by prefix doubling over sampled positions.
+"""Removal of byte strings that occur more than once.
 
-Prefix doubling ranks positions by ever longer prefixes: pairs (rank of the prefix so far, rank of what it grows by)
-are sorted, and positions whose rank became unique leave. Ranking each byte of the table would sort many times its
-size, so neighbouring positions are ranked together while their strings share an anchor (see ``repeats``): the common
-part of their strings grows from 64 bytes (runs of positions) over 377 (24 positions at a time) to the whole length
-(single positions), and what is unique or longer than the threshold on either side leaves early. Ranks are hash
-classes, as only equality matters here, not order.
+This is not prefix doubling: there are no pairs of positions and ranks, no sort and no reranking. Neighbouring
+positions are compared together by hash while their strings share an anchor (see ``repeats``): the common part of
+their strings grows from 64 bytes (runs of positions) over 377 (24 positions at a time) to the whole length (single
+positions), and what is unique, or longer than the threshold on either side, leaves early. The result is that of
+prefix doubling up to the threshold: every byte of every string that starts twice.
 
 Defined cases: a null or empty text has no bytes and nothing to remove; a text shorter than ``length`` keeps all;
 copies of a text of at least ``length`` bytes lose all of it, every one of them; repeated rows count as copies;
