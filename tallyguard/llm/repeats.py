@@ -185,12 +185,17 @@ def _again(records: DataFrame, *names: str) -> DataFrame:
     return counted.filter("n > 1").drop("n")
 
 
-def repeated_runs(docs: DataFrame, spec: Repeats) -> DataFrame:
-    """``k1``, ``k2`` of a text and ``runs``: its positions that repeat, as (first, last), neither merged nor sorted."""
+def narrowed(docs: DataFrame, spec: Repeats, steps: tuple[int, ...]) -> tuple[DataFrame, DataFrame | None]:
+    """``k1``, ``k2``, ``first``, ``last`` of positions that ``steps`` find to repeat, and what they leave open.
+
+    Open is one row for a text: ``k1``, ``k2``, ``_first`` (its smallest doc_id) and ``refs``; None after step 1.
+    """
     keyed = keyed_texts(docs)
     firsts = write_once(keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "firsts")
-    live, settled = keyed.select("k1", "k2", "text"), None
-    for number, step in enumerate(spec.steps):
+    live, settled, refs = keyed.select("k1", "k2", "text"), None, None
+    for number, step in enumerate(steps):
+        if number:
+            live = texts_of(docs, refs)
         records = live.mapInArrow(_hashes(spec, step, False), RECORD)
         if number:
             records = write_once(records, "records")
@@ -207,6 +212,7 @@ def repeated_runs(docs: DataFrame, spec: Repeats) -> DataFrame:
         place = F.shiftrightunsigned("ref", 2 * FIELD)
         runs = found.filter("whole").select("k1", "k2", (place - far).alias("first"), (place - near).alias("last"))
         settled = runs if settled is None else settled.unionByName(runs)
+        refs = None
         if step > 1:
             # with what is open goes on one place of each settled block it may agree with in part
             opened = found.filter("whole IS NULL")
@@ -214,8 +220,22 @@ def repeated_runs(docs: DataFrame, spec: Repeats) -> DataFrame:
             refs = opened.select("k1", "k2", "ref").unionByName(partners)
             refs = refs.groupBy("k1", "k2").agg(F.collect_set("ref").alias("refs")).join(firsts, ["k1", "k2"])
             refs = refs.withColumnRenamed("doc_id", "_first")
-            same = (keyed["k1"] == refs["k1"]) & (keyed["k2"] == refs["k2"]) & keyed["doc_id"].eqNullSafe(refs["_first"])
-            live = keyed.join(refs, same).select(keyed["k1"], keyed["k2"], "text", "refs")
+    return settled, refs
+
+
+def texts_of(docs: DataFrame, refs: DataFrame, *more: str) -> DataFrame:
+    """The text of every row of ``refs``, from the row of its smallest doc_id."""
+    keyed = keyed_texts(docs)
+    same = (keyed["k1"] == refs["k1"]) & (keyed["k2"] == refs["k2"]) & keyed["doc_id"].eqNullSafe(refs["_first"])
+    return keyed.join(refs, same).select(keyed["k1"], keyed["k2"], "text", "refs", *more)
+
+
+def repeated_runs(docs: DataFrame, spec: Repeats) -> DataFrame:
+    """``k1``, ``k2`` of a text and ``runs``: its positions that repeat, as (first, last), neither merged nor sorted."""
+    return grouped_runs(narrowed(docs, spec, spec.steps)[0])
+
+
+def grouped_runs(settled: DataFrame) -> DataFrame:
     return settled.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
@@ -231,6 +251,10 @@ def covered(runs, length: int) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, spec: Repeats) -> DataFrame:
+    return without_runs(docs, repeated_runs(docs, spec), spec)
+
+
+def without_runs(docs: DataFrame, runs: DataFrame, spec: Repeats) -> DataFrame:
     """Every row's ``doc_id``, number of ``units``, ``spans`` that were removed (start, end in units) and ``kept``.
 
     ``kept`` is the rest as bytes: what is left of the text's bytes in a row, or its words with one space between.
@@ -257,5 +281,5 @@ def without_repeats(docs: DataFrame, spec: Repeats) -> DataFrame:
                 columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(all_spans, span_type), pa.array(kept, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "units", "spans", "kept"])
 
-    runs = write_once(repeated_runs(docs, spec), "runs")
+    runs = write_once(runs, "runs")
     return keyed_texts(docs).join(runs, ["k1", "k2"], "left").select("doc_id", "text", "runs").mapInArrow(run, schema)
