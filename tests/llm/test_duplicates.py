@@ -45,6 +45,34 @@ def test_bytes(spark, length, gram):
     assert collected(result) == brute_force(found, length, False)
 
 
+def test_bytes_at_full_length(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdef ", k=3000))
+    found = [
+        (1, long, "en", "s", 0),
+        (2, "x" + long[100:499] + "y", "en", "s", 0),  # a byte short
+        (3, "x" + long[700:1100] + "y" + long[1500:2300], "en", "s", 0),
+        (4, "z" * 1500, "en", "s", 0),  # one pair that most positions have
+        (5, "ab" * 230 + long[2400:2900] + "ba" * 199, "en", "s", 0),
+        (6, long[:400], "en", "s", 0),
+        (6, "\u00e9" * 250 + long[1400:1810], "en", "s", 0),
+        (None, None, "en", "s", 0),
+    ]
+    assert collected(suffix_dedup.remove_repeated_bytes(table(spark, found))) == brute_force(found, 400, False)
+
+
+def test_ranks_double_up_to_the_length():
+    assert suffix_dedup.lengths(400, 64) == [100, 200, 400]
+    assert suffix_dedup.lengths(100, 64) == [50, 100] and suffix_dedup.lengths(35, 8) == [9, 18, 35]
+    assert list(suffix_dedup.offsets([100, 200, 400])) == [0, 200]
+    text = np.frombuffer(b"abcabcabdabcabc", np.uint8).astype(np.uint64)
+    for size in (1, 3, 4, 5, 7):
+        ranks = suffix_dedup.first_ranks(text, size)
+        strings = [bytes(text[i : i + size].astype(np.uint8)) for i in range(len(text) - size + 1)]
+        assert len(ranks) == len(strings)
+        assert all((ranks[i] == ranks[j]) == (x == y) for i, x in enumerate(strings) for j, y in enumerate(strings))
+
+
 def test_random_repeats_over_a_tiny_alphabet(spark):
     rng = random.Random(5)
     found = [(i, "".join(rng.choices("ab", k=rng.randint(0, 90))), "en", "s", 0) for i in range(150)]
