@@ -37,7 +37,7 @@ from tallyguard.plans import audit_run  # noqa: E402
 from tallyguard.plans.scratch import scratch_path  # noqa: E402
 from tallyguard.plans.workspace import Workspace, workspace_for  # noqa: E402
 from tallyguard.sources import files, ledger  # noqa: E402
-from tallyguard.streaming import controls  # noqa: E402
+from tallyguard.streaming import controls, corrections  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -323,6 +323,37 @@ def _stream_block(spark: SparkSession, folder: str) -> DataFrame:
     return decided.select("transaction_id", "vendor_id", "invoice_number", "amount", "decision")
 
 
+#: deliveries that the events come in, by hour of day, so that later ones bring rows of days that went before
+DELIVERIES = 5
+
+
+def _in_deliveries(spark: SparkSession, folder: str, handle: Callable[[DataFrame], DataFrame], again: bool) -> DataFrame:
+    """Run a control after each delivery of events; with ``again`` clicks come a second time, one delivery later."""
+    events = ledger.load_tables(spark, folder, ("events",))["events"]
+    number = F.floor(F.hour("ts") / 5).cast("int")
+    inbox = scratch_path(spark, "deliveries")
+    found = None
+    for turn in range(DELIVERIES + int(again)):
+        sent = events.where(number == turn)
+        if again:
+            sent = sent.unionByName(events.where((number == turn - 1) & (F.col("event_type") == "click")))
+        sent.write.mode("append").parquet(inbox)
+        found = handle(ledger.event_rows(controls.read_files(spark, inbox, schemas.EVENTS), controls.utc_instant("ts")))
+    return found
+
+
+def _stream_block_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "payments")
+    decided = _in_deliveries(spark, folder, lambda rows: controls.release_or_block(rows, target, fan=2, buckets=16), again=True)
+    return decided.select("transaction_id", "vendor_id", "invoice_number", "amount", "decision")
+
+
+def _stream_corrected(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "weeks")
+    versions = _in_deliveries(spark, folder, lambda rows: corrections.rolling_versions(rows, target, fan=2), again=False)
+    return _plain(corrections.latest(versions).na.fill(0, ["evaded_limit"]))
+
+
 def _stream_first(spark: SparkSession, folder: str) -> DataFrame:
     kept = controls.drain(controls.first_within(_event_stream(spark, folder), "40 days"), "first")
     return kept.select("vendor_id", "invoice_number", "amount")
@@ -531,6 +562,8 @@ def queries() -> dict[str, Query]:
         ),
         "stream_rolling_7d": _stream_rolling,
         "stream_duplicate_block": _stream_block,
+        "stream_block_deliveries": _stream_block_deliveries,
+        "stream_rolling_corrected": _stream_corrected,
         "stream_first_payments": _stream_first,
         "stream_rules": _stream_rules,
         "stream_forest_screen": _stream_forest,

@@ -946,6 +946,31 @@ ORACLE["stream_duplicate_block"] = _q(
                                            ORDER BY ts, transaction_id) = 1 THEN 'released' ELSE 'blocked' END AS decision
        FROM event_ledger""",
 )
+ORACLE["stream_block_deliveries"] = _q(
+    EVENTS,
+    """, sent AS (SELECT *, hour(ts) // 5 AS delivery FROM event_ledger
+                 UNION ALL SELECT *, hour(ts) // 5 + 1 FROM event_ledger WHERE department = 'click')
+       SELECT transaction_id, vendor_id, invoice_number, amount,
+              CASE WHEN row_number() OVER (PARTITION BY vendor_id, invoice_number, amount
+                                           ORDER BY delivery, ts, transaction_id) = 1
+                   THEN 'released' ELSE 'blocked' END AS decision
+       FROM sent""",
+)
+ORACLE["stream_rolling_corrected"] = _q(
+    EVENTS + ", staged AS (SELECT * FROM event_ledger)",
+    _ROLLING
+    + """, touched AS (
+    SELECT e.vendor_id, e.department, CAST(e.transaction_date AS VARCHAR) AS transaction_date,
+           count(DISTINCT hour(r.ts) // 5) AS versions
+    FROM (SELECT DISTINCT vendor_id, department, transaction_date FROM event_ledger) e JOIN event_ledger r
+      ON r.vendor_id = e.vendor_id AND r.department = e.department
+         AND r.transaction_date BETWEEN e.transaction_date - 6 AND e.transaction_date
+         AND hour(r.ts) // 5 >= (SELECT min(hour(o.ts) // 5) FROM event_ledger o WHERE o.vendor_id = e.vendor_id
+                                 AND o.department = e.department AND o.transaction_date = e.transaction_date)
+    GROUP BY ALL)
+  SELECT evading.* EXCLUDE (evaded_limit), coalesce(evaded_limit, 0) AS evaded_limit, versions
+  FROM evading JOIN touched USING (vendor_id, department, transaction_date)""",
+)
 ORACLE["stream_first_payments"] = _q(
     EVENTS, "SELECT DISTINCT vendor_id, invoice_number, amount FROM event_ledger"
 )

@@ -9,6 +9,28 @@ from tallyguard.config import DEFAULT, AuditConfig
 from tallyguard.functions.money import cents, in_any_band
 
 
+#: what is known of a week
+WEEK_COLUMNS = ("rolling_spend", "rolling_transactions", "largest_payment", "near_limit_payments", "evaded_limit")
+
+
+def day_totals(df: DataFrame, by: tuple[str, ...], config: AuditConfig = DEFAULT) -> DataFrame:
+    """Rows per vendor, department and day; sums and maxima of these give any longer window."""
+    return df.groupBy(*by, "transaction_date").agg(
+        F.sum(cents()).alias("_cents"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.max("amount").alias("_largest"),
+        F.sum(F.when(in_any_band(F.col("amount"), config.bands), F.lit(1)).otherwise(F.lit(0))).alias("_near"),
+    )
+
+
+def with_evaded_limit(weeks: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame:
+    evaded = F.lit(None).cast("int")
+    for limit in config.limits:
+        split = (F.col("rolling_spend") >= limit) & (F.col("largest_payment") < limit)
+        evaded = F.when(split, F.lit(limit)).otherwise(evaded)
+    return weeks.withColumn("evaded_limit", evaded)
+
+
 def rolling_spend(df: DataFrame, by: tuple[str, ...] = ("vendor_id", "department"), config: AuditConfig = DEFAULT) -> DataFrame:
     """Per vendor, department and day with rows: spend of the last seven days, and the limit it evades.
 
@@ -16,12 +38,7 @@ def rolling_spend(df: DataFrame, by: tuple[str, ...] = ("vendor_id", "department
     payment in it stays below; null if there is none. Rows are summed per day first, so a window group has
     at most one row per calendar day.
     """
-    days = df.groupBy(*by, "transaction_date").agg(
-        F.sum(cents()).alias("_cents"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.max("amount").alias("_largest"),
-        F.sum(F.when(in_any_band(F.col("amount"), config.bands), F.lit(1)).otherwise(F.lit(0))).alias("_near"),
-    )
+    days = day_totals(df, by, config)
     week = (
         Window.partitionBy(*by)
         .orderBy(F.datediff("transaction_date", F.lit("1970-01-01").cast("date")))
@@ -35,19 +52,7 @@ def rolling_spend(df: DataFrame, by: tuple[str, ...] = ("vendor_id", "department
             "near_limit_payments": F.sum("_near").over(week),
         }
     )
-    evaded = F.lit(None).cast("int")
-    for limit in config.limits:
-        split = (F.col("rolling_spend") >= limit) & (F.col("largest_payment") < limit)
-        evaded = F.when(split, F.lit(limit)).otherwise(evaded)
-    return placed.select(
-        *by,
-        "transaction_date",
-        "rolling_spend",
-        "rolling_transactions",
-        "largest_payment",
-        "near_limit_payments",
-        evaded.alias("evaded_limit"),
-    )
+    return with_evaded_limit(placed, config).select(*by, "transaction_date", *WEEK_COLUMNS)
 
 
 def split_purchase_alerts(df: DataFrame, by: tuple[str, ...] = ("vendor_id", "department"), config: AuditConfig = DEFAULT) -> DataFrame:

@@ -41,8 +41,12 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Delete what this application has written; tables that read it are gone with it."""
-    folder = f"{shared_root(spark)}/tallyguard/{spark.sparkContext.applicationId}"
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all files in it; one that is not there is no error."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written; tables that read it are gone with it."""
+    remove_folder(spark, f"{shared_root(spark)}/tallyguard/{spark.sparkContext.applicationId}")

@@ -6,6 +6,8 @@ amount, invoice and approver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +21,7 @@ from tallyguard.operators.rules import DUPLICATE_KEY, with_row_rules
 from tallyguard.operators.staging import dedup_first
 from tallyguard.plans.scratch import scratch_path, write_once
 from tallyguard.plans.small_side import bounded
+from tallyguard.streaming.state import BatchState
 
 
 def utc_instant(column: str) -> Column:
@@ -53,6 +56,17 @@ def drain(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{target}/rows")
 
 
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], target: str) -> None:
+    """Hand every micro-batch of what is there now to ``handle``; progress is kept below ``target``."""
+    query = (
+        stream.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", f"{target}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def rolling_spend(
     stream: DataFrame,
     by: tuple[str, ...] = ("vendor_id", "department"),
@@ -61,8 +75,8 @@ def rolling_spend(
 ) -> DataFrame:
     """Spend per vendor and department in windows of seven days that start every day.
 
-    A window is given out once the watermark has passed its end; rows later than that are dropped, and
-    the batch form ``operators.rolling.rolling_spend`` is the truth for them.
+    A window is given out once the watermark has passed its end; rows later than that are dropped.
+    ``corrections.rolling_versions`` drops none.
     """
     span, step = f"{config.rolling_days} days", "1 day"
     windows = (
@@ -104,12 +118,14 @@ def first_within(stream: DataFrame, lateness: str = "4 days", key: list[str] | N
     return timed.where(whole).dropDuplicatesWithinWatermark(key).unionByName(timed.where(~whole))
 
 
-#: folders of released keys by hash; a batch reads those that its own keys fall into
+#: parts of the released keys by hash; a batch reads those that its own keys fall into
 KEY_BUCKETS = 256
+#: batches, or folders of one level, whose released keys are merged
+MERGED_BATCHES = 16
 
 
-def _key_bucket() -> Column:
-    return F.pmod(F.hash(*DUPLICATE_KEY), F.lit(KEY_BUCKETS)).cast("int")
+def _key_bucket(buckets: int) -> Column:
+    return F.pmod(F.hash(*DUPLICATE_KEY), F.lit(buckets)).cast("int")
 
 
 def decide_batch(batch: DataFrame, released: DataFrame | None, order: tuple[str, ...] = ("event_time", "transaction_id")) -> DataFrame:
@@ -133,39 +149,32 @@ def decide_batch(batch: DataFrame, released: DataFrame | None, order: tuple[str,
     return numbered.join(chosen, "_row", "left").withColumn("decision", verdict).drop("_verdict", "_row")
 
 
-def release_or_block(stream: DataFrame, target: str | None = None) -> DataFrame:
+def release_or_block(stream: DataFrame, target: str | None = None, fan: int = MERGED_BATCHES, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Pre-payment duplicate block over everything that is there now; returns all rows with a decision.
 
     Every micro-batch is a folder below ``target``, and a repeated batch overwrites its folder, so a restart
-    does not count a row twice. What is kept for later batches are the released keys alone, in folders by hash of
-    the key; a batch reads only the folders its own keys fall into, also those of an earlier run with the same
-    ``target``.
+    does not count a row twice. What is kept for later batches are the released keys alone, by hash of the key;
+    a batch reads only the parts its own keys fall into, also those of an earlier run with the same ``target``.
+    The keys of every ``fan`` batches are merged, so their files grow with the keys and not with the batches.
     """
     spark = stream.sparkSession
     target = target or scratch_path(spark, "payments")
-    rows, keys = f"{target}/rows", f"{target}/keys"
+    rows = f"{target}/rows"
     decided = StructType.fromJson(stream.schema.jsonValue()).add("decision", "string")
     stored = StructType.fromJson(decided.jsonValue()).add("batch", "integer")
-    kept = StructType([stream.schema[name] for name in DUPLICATE_KEY]).add("batch", "integer").add("bucket", "integer")
+    kept = StructType([stream.schema[name] for name in DUPLICATE_KEY]).add("bucket", "integer")
+    keys = BatchState(f"{target}/keys", kept, "bucket", fan=fan)
 
     def handle(batch: DataFrame, number: int) -> None:
-        released = None
-        if number > 0:
-            touched = [r["bucket"] for r in batch.select(_key_bucket().alias("bucket")).distinct().collect()]  # few
-            before = batch.sparkSession.read.schema(kept).parquet(keys)
-            released = before.where((F.col("batch") < number) & F.col("bucket").isin(*touched))
+        session = batch.sparkSession
+        touched = [r["bucket"] for r in batch.select(_key_bucket(buckets).alias("bucket")).distinct().collect()]  # few
+        released = keys.before(session, number, touched)
         decide_batch(batch, released).select(*decided.names).write.mode("overwrite").parquet(f"{rows}/batch={number}")
-        done = batch.sparkSession.read.schema(decided).parquet(f"{rows}/batch={number}").where("decision = 'released'")
-        done = done.select(*DUPLICATE_KEY).na.drop().withColumn("bucket", _key_bucket())
-        done.write.mode("overwrite").partitionBy("bucket").parquet(f"{keys}/batch={number}")
+        done = session.read.schema(decided).parquet(f"{rows}/batch={number}").where("decision = 'released'")
+        keys.add(done.select(*DUPLICATE_KEY).na.drop().withColumn("bucket", _key_bucket(buckets)), number)
+        keys.merge(session, number)
 
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{target}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    run_batches(stream, handle, target)
     return spark.read.schema(stored).parquet(rows).drop("batch")
 
 

@@ -6,13 +6,15 @@ import pytest
 from conftest import SMALL
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import __spark_entry__ as contract
 from tallyguard import schemas
 from tallyguard.operators import rules, staging
 from tallyguard.plans.audit_run import run_audit
 from tallyguard.sources import files, ledger
-from tallyguard.streaming import controls
+from tallyguard.operators.rolling import rolling_spend
+from tallyguard.streaming import controls, corrections, state
 
 
 def test_ledger_csv_round_trip(spark, raw_rows, tmp_path):
@@ -165,6 +167,69 @@ def test_block_goes_on_after_a_restart(spark, tmp_path):
     assert run() == {1: "released", 2: "released", 3: "blocked", 4: "released"}
 
 
+def test_live_folders_are_the_digits_of_the_number():
+    assert state.live_folders(0, 4) == []
+    assert state.live_folders(7, 4) == [(1, 0), (0, 4), (0, 5), (0, 6)]
+    assert state.live_folders(16 + 4, 4) == [(2, 0), (1, 16)]
+    for batches in range(1, 300):
+        held = [n for level, start in state.live_folders(batches, 3) for n in range(start, start + 3**level)]
+        assert held == list(range(batches))
+
+
+def _folders(root):
+    return sorted(str(p.relative_to(root)) for p in root.glob("level=*/start=*"))
+
+
+def test_state_is_merged_and_a_repeated_batch_changes_nothing(spark, tmp_path):
+    schema = StructType().add("k", "string").add("n", "long").add("part", "integer")
+    fold = lambda rows: rows.groupBy("k", "part").agg(F.sum("n").alias("n")).select("k", "n", "part")
+    kept = state.BatchState(str(tmp_path), schema, "part", fold, fan=2)
+    for number in range(9):
+        for _ in range(2 if number % 4 == 3 else 1):  # some batches are interrupted after they were merged
+            rows = spark.createDataFrame([("a", 1, 0), (f"b{number}", 1, 1)], schema)
+            kept.add(rows if number != 4 else rows.limit(0), number)
+            kept.merge(spark, number)
+        found = kept.before(spark, number + 1, [0, 1]).groupBy("k").agg(F.sum("n").alias("n")).collect()
+        batches = [n for n in range(number + 1) if n != 4]
+        assert {r.k: r.n for r in found} == {"a": len(batches), **{f"b{n}": 1 for n in batches}}
+        assert len(_folders(tmp_path)) <= 9
+    assert kept.before(spark, 9, [0]).select("k").distinct().collect() == [("a",)]
+    assert kept.before(spark, 0, [0]) is None and kept.before(spark, 3, []) is None
+    assert _folders(tmp_path) == ["level=0/start=8", "level=3/start=0"]
+
+
+def test_files_of_released_keys_do_not_grow_with_batches(spark, payments, tmp_path):
+    target = tmp_path / "paid"
+    plain = {r["event_id"]: r["decision"] for r in controls.release_or_block(payments()).collect()}
+    merged = controls.release_or_block(payments(), str(target), fan=2, buckets=8)
+    assert {r["event_id"]: r["decision"] for r in merged.collect()} == plain
+    assert _folders(target / "keys") == ["level=0/start=2", "level=1/start=0"]
+    assert len(list((target / "keys/level=1").rglob("*.parquet"))) <= 3  # at most one file for each of three keys
+
+
+def _weeks(rows):
+    named = rows.select("vendor_id", "department", "transaction_date", *corrections.WEEK_COLUMNS)
+    return sorted((tuple(r) for r in named.collect()), key=str)
+
+
+def test_late_rows_correct_their_weeks(spark, tmp_path):
+    """Days come in any order, one micro-batch each, over a month's end and with a vendor that has no number."""
+    start, sent = dt.datetime(2024, 1, 28), []
+    for number, (day, user) in enumerate([(9, 1), (3, 1), (0, 1), (9, 2), (8, 1), (3, 1), (40, 1), (2, None), (3, None)]):
+        row = (number, start + dt.timedelta(days=day), user, "a", 48.0 + number, "{}")
+        frame = spark.createDataFrame([row], schemas.EVENTS)
+        frame.write.mode("append").parquet(str(tmp_path / "in"))
+        sent.append(row)
+        events = controls.read_files(spark, str(tmp_path / "in"), schemas.EVENTS)
+        rows = ledger.event_rows(events, controls.utc_instant("ts"))
+        versions = corrections.rolling_versions(rows, str(tmp_path / "out"), fan=2)
+        arrived = ledger.event_rows(spark.createDataFrame(sent, schemas.EVENTS), controls.utc_instant("ts"))
+        if number in (2, 5, 8):
+            assert _weeks(corrections.latest(versions)) == _weeks(rolling_spend(arrived))
+    counts = {(r.vendor_id, r.transaction_date.isoformat()): r.versions for r in corrections.latest(versions).collect()}
+    assert counts[("VND-1", "2024-02-06")] == 4 and counts[("VND-1", "2024-01-31")] == 3 and counts[("VND-1", "2024-03-08")] == 1
+
+
 def test_missing_invoices_are_released(spark, payments):
     batch = spark.createDataFrame([("A", 1, "V", None, 1.0), ("B", 2, "V", None, 1.0)],
                                   "transaction_id string, event_time int, vendor_id string, invoice_number string, amount double")
