@@ -4,9 +4,10 @@ log P(language | everything) = text log-likelihood * ``temper`` + log P(declared
                                + log P(language | host) + constant
 
 * Text: byte trigrams of the lower-case letters, hashed into a table of log-probabilities for each language. The model
-  is fitted on at most ``sample`` different texts for each declared language, those of the lowest hashes. Every declared
-  value with ``enough`` rows is a language, and so are the ``languages`` most frequent values however rare. The table
-  grows by 256 KB with each.
+  is fitted on at most ``sample`` different texts for each declared language, those of the lowest hashes. The ``languages``
+  most frequent declared values have a column each (256 KB); all rarer ones share one more column, fitted on ``sample``
+  texts of theirs. So the table is bounded, and a text that reads like the shared column is in the language it declares.
+* Declared values are compared by their first subtag, in lower case: ``en-GB`` is ``en``.
 * Declared markup language: how often each value is declared on texts that read as each language.
 * Host: languages of the host's other texts, smoothed towards the address suffix, which is smoothed towards all texts
   (Dirichlet weight ``strength`` at each level). A text's own reading does not count towards its own prior.
@@ -18,8 +19,9 @@ A text is rejected if it has no letters, reads worse under every language than l
 posterior is below ``least``.
 
 Defined cases: a null or empty text has no letters and is rejected (language null); null declared values, hosts and
-suffixes are values of their own that say little or nothing; repeated rows are separate observations; without any
-declared language nothing can be fitted and every text is rejected; an empty table gives no rows.
+suffixes are values of their own that say little or nothing; repeated rows are separate observations; a text
+that reads like the shared column and declares no rare language is in language ``und``; without any declared language
+nothing can be fitted and every text is rejected; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,15 +38,18 @@ from tallyguard.llm.common import rows_chosen, text_key
 from tallyguard.plans.scratch import write_once
 
 BUCKETS = 1 << 16
+#: language of a text that is in some rare language and does not declare which
+UNDETERMINED = "und"
 _GAP = re.compile(r"[\W\d_]+")
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """``table`` holds, by trigram bucket, a log-probability for each language."""
+    """``table`` holds, by trigram bucket, a log-probability for each language; with ``rest``, a last one for all others."""
 
     languages: tuple[str, ...]
     table: np.ndarray
+    rest: bool = False
 
 
 def grams(text: str) -> np.ndarray:
@@ -57,35 +62,35 @@ def grams(text: str) -> np.ndarray:
     return (codes * np.uint32(2654435761)) >> np.uint32(16)
 
 
-def fit(docs: DataFrame, languages: int = 32, sample: int = 500, smoothing: float = 0.1, enough: int = 5) -> TextModel:
-    """Fit on rows of ``text`` and ``declared``, on ``sample`` different texts of at most 20,000 characters for each language.
-
-    Languages are all declared values with ``enough`` rows, and the ``languages`` most frequent ones however few theirs.
-    """
+def fit(docs: DataFrame, languages: int = 256, sample: int = 500, smoothing: float = 0.1) -> TextModel:
+    """Fit on rows of ``text`` and ``declared``, on ``sample`` different texts of at most 20,000 characters for each column."""
     labelled = docs.filter("declared IS NOT NULL AND declared != ''")
     labelled = labelled.select("declared", "text", (F.char_length("text") <= 20_000).alias("short"), F.xxhash64("text").alias("h"))
     counts = labelled.groupBy("declared").agg(
         F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.when(F.col("short"), F.col("h")), 0.02).alias("texts")
     )
     counts = write_once(counts, "languages")
-    order = F.desc("n"), F.asc("declared")
-    frequent = counts.orderBy(*order).limit(languages)
-    found = {r["declared"]: r["texts"] for r in counts.filter(F.col("n") >= enough).unionByName(frequent).collect()}
+    frequent = counts.orderBy(F.desc("n"), F.asc("declared")).limit(languages).collect()
+    found = {r["declared"]: r["texts"] for r in frequent}
     names = sorted(found)
-    seen = np.zeros((BUCKETS, len(names)), np.uint32)
+    values, texts = counts.agg(F.count(F.lit(1)), F.sum("texts")).first()
+    rest = values > len(names)
+    seen = np.zeros((BUCKETS, len(names) + int(rest)), np.uint32)
     if names:
-        shares = [(name, min(1.0, 1.5 * sample / max(1, found[name]))) for name in names]
-        shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "declared string, share double"))
-        drawn = F.pmod("h", F.lit(1 << 30)) < F.col("share") * float(1 << 30)
-        drawn = labelled.filter("short").join(shares, "declared").filter(drawn)
-        drawn = drawn.groupBy("declared", "h").agg(F.min("text").alias("text"))  # copies once
-        place = F.row_number().over(Window.partitionBy("declared").orderBy("h"))
-        chosen = drawn.withColumn("place", place).filter(F.col("place") <= sample).select("declared", "text")
-        number = {name: i for i, name in enumerate(names)}
+        share = lambda texts: min(1.0, 1.5 * sample / max(1, texts))
+        shares = [(name, i, share(found[name])) for i, name in enumerate(names)]
+        shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "declared string, place int, share double"))
+        short = labelled.filter("short").join(shares, "declared", "left" if rest else "inner")
+        if rest:
+            short = short.fillna({"place": len(names), "share": share(texts - sum(found.values()))})
+        drawn = short.filter(F.pmod("h", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
+        drawn = drawn.groupBy("place", "h").agg(F.min("text").alias("text"))  # copies once
+        rank = F.row_number().over(Window.partitionBy("place").orderBy("h"))
+        chosen = drawn.withColumn("rank", rank).filter(F.col("rank") <= sample).select("place", "text")
         for row in chosen.toLocalIterator():
-            seen[:, number[row["declared"]]] += np.bincount(grams(row["text"]), minlength=BUCKETS).astype(np.uint32)
+            seen[:, row["place"]] += np.bincount(grams(row["text"]), minlength=BUCKETS).astype(np.uint32)
     table = np.log((seen + smoothing) / (seen.sum(axis=0) + smoothing * BUCKETS)).astype(np.float32)
-    return TextModel(tuple(names), table)
+    return TextModel(tuple(names), table, rest)
 
 
 def read(docs: DataFrame, model: TextModel) -> DataFrame:
@@ -142,7 +147,7 @@ def host_priors(read_rows: DataFrame, size: int, strength: float) -> DataFrame:
 
 def identify(
     docs: DataFrame,
-    languages: int = 32,
+    languages: int = 256,
     sample: int = 500,
     temper: float = 0.2,
     strength: float = 20.0,
@@ -155,10 +160,10 @@ def identify(
     """
     names = ("text", "declared", "host", "suffix")
     others = [c for c in docs.columns if c not in names]
-    clean = F.nullif(F.lower(F.trim("declared")), F.lit(""))
+    clean = F.nullif(F.substring_index(F.translate(F.lower(F.trim("declared")), "_", "-"), "-", 1), F.lit(""))
     docs = docs.select(*others, F.coalesce("text", F.lit("")).alias("text"), clean.alias("declared"), "host", "suffix")
     model = model or fit(docs, languages, sample)
-    size = len(model.languages)
+    size = model.table.shape[1]
     if not size:
         nothing = F.lit(None)
         return docs.drop("text").withColumns(
@@ -179,7 +184,10 @@ def identify(
     rows = rows.withColumn("fused", fused).withColumn("top", F.array_max("fused"))
     total = F.aggregate("fused", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     posterior = 1.0 / total
-    name = F.element_at(F.array(*map(F.lit, model.languages)), F.array_position("fused", F.col("top")).cast("int"))
+    own = F.array(*map(F.lit, model.languages))
+    rare = F.when(F.array_contains(own, F.col("declared")), F.lit(UNDETERMINED)).otherwise(F.coalesce("declared", F.lit(UNDETERMINED)))
+    place = F.array_position("fused", F.col("top")).cast("int")
+    name = F.when(place <= len(model.languages), F.get(own, place - 1)).otherwise(rare)
     kept = (F.col("letters") > 0) & (F.col("reads") >= 0) & (posterior >= least)
     return rows.select(
         *others,

@@ -333,6 +333,70 @@ def test_language_keeps_many_languages(spark):
     assert language.keep_identified(docs).count() == len(found)
 
 
+def test_rare_languages_share_a_column_and_are_kept(spark):
+    """Two languages have a column of their own; ten rarer ones, some with one text, share one and lose no row."""
+    rng, found = random.Random(23), []
+    for i in range(12):
+        own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(9)]
+        name = f"l{chr(97 + i)}" + ("-XY" if i % 2 else "")
+        found += [(1000 * i + k, prose(rng, 60, own), name, "h", 0) for k in range(200 if i < 2 else 1 + i % 5)]
+    found.append((99_000, found[-1][1], None, "h", 0))  # a rare language that is not declared
+    docs = table(spark, found)
+    evidence = language.from_documents(docs, "doc_id")
+    model = language.fit(evidence.withColumn("declared", F.substring_index("declared", "-", 1)), languages=2)
+    assert model.languages == ("la", "lb") and model.rest and model.table.shape == (language.BUCKETS, 3)
+    for parts in (1, 5):
+        result = {r.doc_id: r for r in language.identify(evidence.repartition(parts), languages=2).collect()}
+        assert len(result) == len(found) and all(r.accepted for r in result.values())
+        assert all(result[i].language == lang[:2] for i, _, lang, *_ in found if lang)
+        assert result[99_000].language == language.UNDETERMINED
+    assert language.keep_identified(docs, languages=2).count() == len(found)
+
+
+def _plain_posteriors(rows, model, temper=0.2, strength=20.0):
+    """The fused posterior of every row (id, text, declared, host, suffix), computed row by row."""
+    size, read = model.table.shape[1], []
+    for _, text, *_ in rows:
+        codes = language.grams(text or "")
+        scores = model.table[codes].sum(axis=0, dtype=np.float64)
+        sure = len(codes) > 0 and scores.max() > -np.log(language.BUCKETS) * len(codes)
+        read.append((len(codes), scores, int(scores.argmax()) if sure else -1))
+    tally = lambda keep: np.array([sum(r[2] == k for r, row in zip(read, rows) if keep(row)) for k in range(size)], float)
+    root = (tally(lambda row: True) + 1) / (tally(lambda row: True) + 1).sum()
+    half, out = 0.5 * len({row[2] for row in rows}), {}
+    for row, (letters, scores, reads) in zip(rows, read):
+        mine = np.array([float(k == reads) for k in range(size)])
+        suffix = tally(lambda other: other[4] == row[4])
+        parent = (suffix + strength * root) / (suffix.sum() + strength)
+        host = tally(lambda other: other[3:] == row[3:]) - mine
+        said = tally(lambda other: other[2] == row[2]) - mine
+        known = tally(lambda other: True) - mine
+        fused = temper * scores + np.log((said + 0.5) / (known + half)) + np.log((host + strength * parent) / (host.sum() + strength))
+        share = np.exp(fused - fused.max())
+        best = 1 / share.sum()
+        name = (*model.languages, row[2] if row[2] and row[2] not in model.languages else "und")[int(fused.argmax())]
+        out[row[0]] = (name if letters else None, best, letters > 0 and reads >= 0 and best >= 0.5)
+    return out
+
+
+def test_language_posterior_equals_the_plain_one(spark):
+    rng, rows_ = random.Random(24), []
+    stems = {"de": ("der", "ich", "ung"), "en": ("the", "ing", "wh"), "nl": ("het", "een", "ij"), "sv": ("och", "att")}
+    for i in range(80):
+        lang = rng.choice([*stems, "de", "en"])
+        said = rng.choice([lang, lang, lang, None, "en"])
+        text = rng.choice([prose(rng, rng.choice((1, 2, 5, 40)), stems[lang]), "qx", "", "12 !"])
+        rows_.append((i, text, said, f"{lang}{rng.choice('ab')}" if i % 9 else None, rng.choice(["com", "net", None])))
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, declared string, host string, suffix string")
+    model = language.fit(docs, languages=2)
+    want = _plain_posteriors(rows_, model)
+    found = {r.doc_id: r for r in language.identify(docs, model=model).collect()}
+    assert model.rest and set(found) == set(want)
+    for i, (name, best, accepted) in want.items():
+        assert (found[i].language, found[i].accepted) == (name, accepted)
+        assert abs(found[i].posterior - best) < 1e-9
+
+
 def test_language_sample_is_bounded_for_each_language(spark):
     rng = random.Random(22)
     found = [(i, prose(rng, 30, ("der", "ich") if i % 2 else ("the", "ing")), "de" if i % 2 else "en", "h", 0) for i in range(400)]
