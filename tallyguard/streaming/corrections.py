@@ -7,9 +7,7 @@ week equals ``operators.rolling.rolling_spend`` over all rows that have arrived.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,48 +20,41 @@ from tallyguard.streaming.state import BatchState
 BY = ("vendor_id", "department")
 
 
-def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _summed(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """Totals of days that hold several rows, from as many batches."""
     totals = {"_cents": F.sum, "_rows": F.sum, "_largest": F.max, "_near": F.sum}
-    return rows.groupBy(*keys).agg(*[total(name).alias(name) for name, total in totals.items()])
+    return rows.groupBy(*keys).agg(*[total(name).alias(name) for name, total in totals.items()], *more)
 
 
 def _month() -> Column:
     return (F.year("transaction_date") * 12 + F.month("transaction_date")).cast("int")
 
 
-def _semi(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys are wanted; a null key equals a null key."""
-    renamed = wanted.select(*[F.col(name).alias(f"_wanted_{name}") for name in keys])
-    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_wanted_{name}")) for name in keys])
-    return rows.join(renamed, same, "left_semi")
-
-
 def weeks_touched(days: DataFrame, fresh: DataFrame, by: tuple[str, ...], config: AuditConfig = DEFAULT) -> DataFrame:
     """The weeks that days of ``fresh`` fall into, from the totals of all ``days``; a week ends on a day with rows.
 
-    Days that no such week contains are left out by an equality join before a day is repeated for its weeks.
+    Days of ``fresh`` are marked, and one window a week long sums and looks for marks: no day is repeated for its
+    weeks, and a window group has at most one row per calendar day.
     """
-    reach = config.rolling_days - 1
-    day = F.col("transaction_date")
-    near = fresh.select(*by, F.explode(F.sequence(F.date_sub(day, reach), F.date_add(day, reach))).alias("transaction_date"))
-    ends = F.explode(F.sequence(day, F.date_add(day, reach))).alias("_end")
-    touched = fresh.select(*by, ends).distinct()
-    placed = _semi(days, near.distinct(), [*by, "transaction_date"]).select("*", ends)
-    weeks = (
-        _semi(placed, touched, [*by, "_end"])
-        .groupBy(*by, "_end")
-        .agg(
-            F.round(F.sum("_cents") / 100.0, 2).alias("rolling_spend"),
-            F.sum("_rows").alias("rolling_transactions"),
-            F.max("_largest").alias("largest_payment"),
-            F.sum("_near").alias("near_limit_payments"),
-            F.max("transaction_date").alias("_last"),
-        )
-        .where(F.col("_last") == F.col("_end"))
-        .withColumnRenamed("_end", "transaction_date")
+    keys, named = [*by, "transaction_date"], ("_cents", "_rows", "_largest", "_near")
+    marks = fresh.select(*keys, *[F.lit(None).cast(days.schema[name].dataType).alias(name) for name in named], F.lit(1).alias("_mark"))
+    rows = days.select(*keys, *named, F.lit(0).alias("_mark")).unionByName(marks)
+    week = (
+        Window.partitionBy(*by)
+        .orderBy(F.datediff("transaction_date", F.lit("1970-01-01").cast("date")))
+        .rangeBetween(-(config.rolling_days - 1), Window.currentRow)
+    )
+    placed = _summed(rows, keys, F.max("_mark").alias("_mark")).select(
+        *keys,
+        F.col("_rows").alias("_own"),
+        F.round(F.sum("_cents").over(week) / 100.0, 2).alias("rolling_spend"),
+        F.sum("_rows").over(week).alias("rolling_transactions"),
+        F.max("_largest").over(week).alias("largest_payment"),
+        F.sum("_near").over(week).alias("near_limit_payments"),
+        F.max("_mark").over(week).alias("_mark"),
     )
-    return with_evaded_limit(weeks, config).select(*by, "transaction_date", *WEEK_COLUMNS)
+    weeks = placed.where((F.col("_mark") == 1) & F.col("_own").isNotNull())
+    return with_evaded_limit(weeks, config).select(*keys, *WEEK_COLUMNS)
 
 
 def rolling_versions(

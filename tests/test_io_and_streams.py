@@ -13,7 +13,7 @@ from tallyguard import schemas
 from tallyguard.operators import rules, staging
 from tallyguard.plans.audit_run import run_audit
 from tallyguard.sources import files, ledger
-from tallyguard.operators.rolling import rolling_spend
+from tallyguard.operators.rolling import day_totals, rolling_spend
 from tallyguard.streaming import controls, corrections, state
 
 
@@ -230,6 +230,19 @@ def test_late_rows_correct_their_weeks(spark, tmp_path):
     assert counts[("VND-1", "2024-02-06")] == 4 and counts[("VND-1", "2024-01-31")] == 3 and counts[("VND-1", "2024-03-08")] == 1
 
 
+def test_weeks_are_found_without_repeating_days(spark):
+    """Days repeated for their weeks were broadcast by the size of the days before that: the driver ran out of memory."""
+    start = dt.datetime(2024, 1, 28)
+    sent = [(n, start + dt.timedelta(days=day), user, "a", 48.0 + n, "{}") for n, (day, user) in enumerate([(0, 1), (6, 1), (7, 1), (20, 1), (3, 2), (5, None)])]
+    days = day_totals(ledger.event_rows(spark.createDataFrame(sent, schemas.EVENTS)), corrections.BY)
+    fresh = days.where("transaction_date in ('2024-01-28', '2024-02-02')")
+    weeks = corrections.weeks_touched(days, fresh, corrections.BY)
+    plan = weeks._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Broadcast" not in plan
+    found = {(r.vendor_id, r.transaction_date.isoformat()): (r.rolling_transactions, r.rolling_spend) for r in weeks.collect()}
+    assert found == {("VND-1", "2024-01-28"): (1, 4800.0), ("VND-1", "2024-02-03"): (2, 9700.0), (None, "2024-02-02"): (1, 5300.0)}
+
+
 def test_missing_invoices_are_released(spark, payments):
     batch = spark.createDataFrame([("A", 1, "V", None, 1.0), ("B", 2, "V", None, 1.0)],
                                   "transaction_id string, event_time int, vendor_id string, invoice_number string, amount double")
