@@ -2,7 +2,8 @@
 
 A per-group table is broadcast only after its size has been checked. Beyond the bound, the hot groups
 (at most ``HOT_GROUPS`` of them can each hold more than 1/``HOT_GROUPS`` of the rows) are broadcast and
-every other group meets its rows in a shuffle join in which the rows of hot groups are spread out.
+every other group meets its rows in a shuffle join in which the rows of hot groups are spread out. Rows whose key
+is surely none of the groups', as a broadcast bitmap of key hashes tells, stay out of that shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 << 20
 #: a group is hot when it holds more than one part in this many of all rows
 HOT_GROUPS = 20_000
+#: bits per group and most bits (16 MB) of the bitmap of key hashes; it is left out where bits would be fewer than two per group
+BITS_PER_GROUP, MAX_BITS = 32, 1 << 27
 
 
 def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
@@ -44,6 +47,24 @@ def settle(df: DataFrame, label: str = "groups", max_rows: int | None = None) ->
     return small if small is not None else written
 
 
+def _maybe_grouped(df: DataFrame, groups: DataFrame, keys: list[str], rows: int) -> DataFrame | None:
+    """``df`` with ``_maybe``: false only for rows that match no group. None if a bitmap would tell little."""
+    size = 1 << 15
+    while size < min(rows * BITS_PER_GROUP, MAX_BITS):
+        size <<= 1
+    if size < 2 * rows:
+        return None
+    place = F.pmod(F.xxhash64(F.lit("bit"), *keys), F.lit(size)) + 1
+    bitmaps = groups.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bitmap")
+    )
+    bit = F.bitmap_bit_position(F.col("_place"))
+    byte = F.conv(F.hex(F.substr("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    placed = df.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    known = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return placed.join(F.broadcast(bitmaps), "_bucket", "left").select(*df.columns, known.alias("_maybe"))
+
+
 def attach_group_values(
     df: DataFrame,
     groups: DataFrame,
@@ -58,7 +79,8 @@ def attach_group_values(
     """Join one-row-per-group ``groups`` to ``df`` on ``keys``; ``how`` is left or inner.
 
     ``rows_col`` is the row count of each group and ``spread_on`` a high-cardinality column of ``df``.
-    Rows with a null key match nothing. ``settled`` says that ``groups`` is a local or a written table.
+    Rows with a null key match nothing. ``settled`` says that ``groups`` is a local or a written table. Beyond the
+    bound a left join reads ``df`` twice, so it should be a stored table or cheap to derive from one.
     """
     groups = groups if settled else write_once(groups, "groups")
     small = bounded(groups, max_rows)
@@ -66,8 +88,11 @@ def attach_group_values(
         return df.join(F.broadcast(small), keys, how)
 
     hot_limit = hot_groups or HOT_GROUPS
-    total = groups.agg(F.sum(rows_col)).first()[0]
+    facts = groups.agg(F.sum(rows_col), F.count(F.lit(1))).first()
+    total = facts[0]
     values = [name for name in groups.columns if name not in keys]
+    told = _maybe_grouped(df, groups, keys, facts[1])
+    candidates = df if told is None else told.where("_maybe").drop("_maybe")
     hot = groups.where(F.col(rows_col) * F.lit(hot_limit) > F.lit(total)).select(
         *keys, *[F.col(name).alias(f"_hot_{name}") for name in values]
     )
@@ -75,7 +100,7 @@ def attach_group_values(
     for key in keys:
         unmatchable = unmatchable | F.col(key).isNull()
     spread = F.xxhash64(F.lit("spread"), F.col(spread_on))
-    routed = df.join(F.broadcast(hot), keys, "left").withColumn(
+    routed = candidates.join(F.broadcast(hot), keys, "left").withColumn(
         "_route",
         F.when(F.col(f"_hot_{rows_col}").isNotNull() | unmatchable, spread).otherwise(F.xxhash64(*keys)),
     )
@@ -84,4 +109,9 @@ def attach_group_values(
         *df.columns,
         *[F.coalesce(F.col(name), F.col(f"_hot_{name}")).alias(name) for name in values],
     )
-    return joined.where(F.col(rows_col).isNotNull()) if how == "inner" else joined
+    if how == "inner":
+        return joined.where(F.col(rows_col).isNotNull())
+    if told is None:
+        return joined
+    nothing = [F.lit(None).cast(groups.schema[name].dataType).alias(name) for name in values]
+    return joined.unionByName(told.where(~F.col("_maybe")).select(*df.columns, *nothing))

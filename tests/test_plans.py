@@ -12,6 +12,7 @@ from tallyguard.plans.ordered import ordered_windows
 from tallyguard.plans.quantiles import approx_quantiles, exact_quantiles, order_statistics
 from tallyguard.plans.scratch import shared_root
 from tallyguard.plans.small_side import attach_group_values, bounded, settle
+from tallyguard.session import TASK_BYTES, bound_tasks
 
 
 @pytest.fixture(scope="module")
@@ -38,10 +39,36 @@ def test_bounded(spark):
     assert settle(spark.range(6), max_rows=5).count() == 6
 
 
+def test_tasks_are_bounded_unless_the_session_names_sizes(spark):
+    split, piece = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    fresh = spark.newSession()
+    fresh.conf.unset(piece)
+    fresh.conf.set(split, "5m")
+    bound_tasks(fresh)
+    assert fresh.conf.get(split) == "5m" and fresh.conf.get(piece) == str(TASK_BYTES[piece])
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_rows_of_no_group_stay_out_of_the_shuffle(spark, skewed):
+    """Only rows whose key may be a group's are dealt by key; before, every row was."""
+    df = spark.createDataFrame(skewed).withColumn("half", F.when(F.col("day") != 2, F.col("day") / 2))
+    keys = ["grp", "half"]
+    groups = df.where("grp in ('g1', 'g2', 'g7')").groupBy(*keys).agg(F.count("*").alias("n")).na.drop()
+    told = {r["id"]: r for r in small_side._maybe_grouped(df, groups, keys, groups.count()).collect()}
+    wanted = {(r["grp"], r["half"]): r["n"] for r in groups.collect()}
+    inside = {k for k, r in told.items() if (r["grp"], r["half"]) in wanted}
+    maybe = {k for k, r in told.items() if r["_maybe"]}
+    assert len(told) == len(skewed) and inside and inside <= maybe and len(maybe) < len(inside) + 0.1 * len(skewed)
+    for how in ("left", "inner"):
+        found = attach_group_values(df, groups, keys, "n", "id", how, max_rows=1, settled=True).collect()
+        assert len(found) == (len(skewed) if how == "left" else len(inside))
+        assert all(r["n"] == wanted.get((r["grp"], r["half"])) for r in found)
+    assert small_side._maybe_grouped(df, groups, keys, small_side.MAX_BITS) is None
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("max_rows", [None, 10])
 def test_attach_group_values(spark, skewed, how, max_rows):
