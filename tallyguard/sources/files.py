@@ -100,9 +100,11 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` is for results of bounded size, such as top-k reports."""
+    """CSV with a header: one plain file with ``single_file``, for results of bounded size, such as top-k reports;
+    else part files that are gzip-compressed, as ledgers in plain text take many times the disk of their source."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').option("dateFormat", "yyyy-MM-dd").csv(path)
+    writer = out.write.mode("overwrite").option("header", True).option("escape", '"').option("dateFormat", "yyyy-MM-dd")
+    writer.option("compression", "none" if single_file else "gzip").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -243,6 +243,17 @@ def test_weeks_are_found_without_repeating_days(spark):
     assert found == {("VND-1", "2024-01-28"): (1, 4800.0), ("VND-1", "2024-02-03"): (2, 9700.0), (None, "2024-02-02"): (1, 5300.0)}
 
 
+def test_large_csv_is_compressed_and_reads_back(spark, tmp_path):
+    rows = spark.range(20000).selectExpr("id", "concat('VND-', id % 7) as vendor")
+    files.write_csv(rows, str(tmp_path / "many"))
+    files.write_csv(rows.limit(3), str(tmp_path / "few"), single_file=True)
+    parts = [p for p in (tmp_path / "many").glob("part-*")]
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts) and sum(p.stat().st_size for p in parts) < 100_000
+    assert [p.suffix for p in (tmp_path / "few").glob("part-*")] == [".csv"]
+    assert files.read_csv(spark, str(tmp_path / "many"), rows.schema).exceptAll(rows).isEmpty()
+    assert files.read_csv(spark, str(tmp_path / "many"), rows.schema).count() == 20000
+
+
 def test_missing_invoices_are_released(spark, payments):
     batch = spark.createDataFrame([("A", 1, "V", None, 1.0), ("B", 2, "V", None, 1.0)],
                                   "transaction_id string, event_time int, vendor_id string, invoice_number string, amount double")
