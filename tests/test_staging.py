@@ -88,3 +88,18 @@ def test_quality_checks(raw_rows, spark):
     master = spark.createDataFrame([("V1", "n", "d", "Low")], schemas.VENDOR_MASTER)
     assert [tuple(r) for r in quality.orphans(raw, master, "vendor_id").collect()] == [("V9", 1)]
     assert [tuple(r) for r in quality.known_members(raw, master, "vendor_id").collect()] == [("V1", 4)]
+
+
+def test_one_pass_gives_staged_and_quarantine(raw_rows):
+    rows = [{}, {"amount": -1.0}, {"amount": None}, {"department": None}, {"transaction_id": None}, {"transaction_id": None},
+            {"transaction_id": "T1", "amount": 7.0}, {"department": None, "amount": 0.0}, {"transaction_date": "31/31/2024"}]
+    raw = raw_rows(*rows)
+    found = staging.arrivals(raw)
+    assert {r["fate"] for r in found.collect()} == {"staged", "quarantined", "dropped"}
+    for part, whole in ((staging.staged_of(found), staging.stage(raw)), (staging.quarantined_of(found), staging.quarantine(raw))):
+        assert part.schema.names == whole.schema.names
+        assert part.exceptAll(whole).isEmpty() and whole.exceptAll(part).isEmpty() and not whole.isEmpty()
+    assert staging.row_counts(raw, found).first().asDict() == {
+        "raw_rows": 9, "staged_rows": staging.stage(raw).count(), "quarantined_rows": staging.quarantine(raw).count(),
+        "repeated_rows": 2, "dropped_rows": 3,
+    }
