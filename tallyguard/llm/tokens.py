@@ -2,7 +2,7 @@
 
 The tokenizer lower-cases, drops white space and never joins characters across it, so the ids of a text are the
 ids of its space-separated chunks in a row. Strings of special tokens have no white space and get their own ids, as
-the library gives them. Texts are split and their chunks told apart by Arrow; a Python worker keeps the ids of chunks
+the library gives them. Texts are split and their chunks told apart by Arrow; a task keeps the ids of chunks
 it has met, and ids are laid out by index.
 """
 
@@ -50,7 +50,7 @@ class ChunkEncoder:
     # letters that neither compose nor change length, then marks without an apostrophe: two separate pre-tokens
     PARTS = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]{1,40})(?P<marks>[.,;:!?*%$#&]{0,8})$"
 
-    def __init__(self, path: str, room: int = 500_000):
+    def __init__(self, path: str, room: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,6 +58,10 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.room, self.known, self.words = room, {"": b""}, {"": b""}
 
+    def forget(self) -> None:
+        """Let go of the ids met so far; the tokenizer stays."""
+        self.known, self.words = {"": b""}, {"": b""}
+
     def _encode(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
@@ -137,7 +141,10 @@ def _slices(texts: pa.Array, rows: int, room: int = 1 << 24):
 
 
 def encoded(batches, path: str, end: int | None, rows: int = 2048):
-    """(doc_id, id bytes with the end id) for record batches of ``doc_id`` and ``text``, some rows at a time."""
+    """(doc_id, id bytes with the end id) for record batches of ``doc_id`` and ``text``, some rows at a time.
+
+    The worker stays for later tasks, which may be other work: it keeps the tokenizer and forgets the ids at the end.
+    """
     enc = encoder(path)
     tail = b"" if end is None else int(end).to_bytes(4, "little")
     for batch in batches:
@@ -145,3 +152,4 @@ def encoded(batches, path: str, end: int | None, rows: int = 2048):
             part = batch.slice(start, stop - start)
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode_all(part.column("text"))):
                 yield doc_id, ids + tail
+    enc.forget()

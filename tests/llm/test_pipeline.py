@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyguard.llm import decontaminate, language, secret_scan, simhash
+from tallyguard.llm import common, decontaminate, language, secret_scan, simhash
 from tallyguard.plans.scratch import write_once
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -72,3 +74,21 @@ def test_packing_stage(stages):
     for p in pieces:
         held[p.doc_id] = held.get(p.doc_id, 0) + p.length
     assert held == total
+
+
+def test_workers_get_batches_of_bounded_size(spark):
+    key, text = "spark.sql.execution.arrow.maxBytesPerBatch", "x" * 100_000
+    kept = spark.conf.getAll.get(key)
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"), *[F.lit(None).cast("string").alias(c) for c in COLUMNS[2:4]], F.lit(1).alias("n_chars"))
+    sizes = lambda: [r.n for r in docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+    try:
+        spark.conf.unset(key)
+        corpus_pipeline.STAGES[0][1](spark, docs, SMALL)
+        assert max(sizes()) < 2 * common.BATCH_BYTES and sum(sizes()) > 40_000_000
+        spark.conf.set(key, str(1 << 20))  # a size that the session names stays
+        common.bound_batches(spark)
+        assert max(sizes()) < 2 << 20
+    finally:
+        spark.conf.unset(key)
+        if kept is not None:
+            spark.conf.set(key, kept)

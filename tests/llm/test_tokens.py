@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -48,6 +49,18 @@ def test_encoder_with_little_room():
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_are_forgotten_when_a_task_ends():
+    path, text = tokens.vocabulary_path(), "one two, three"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [text, text]})
+    enc = tokens.encoder(path)
+    found = tokens.encoded(iter([batch]), path, tokens.END)
+    ids = next(found)[1]
+    assert "two," in enc.known and "two" in enc.words
+    assert [x for _, x in found] == [ids]
+    assert enc.known == enc.words == {"": b""}
+    assert [x for _, x in tokens.encoded(iter([batch]), path, tokens.END)] == [ids, ids]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 31), min_size=1, max_size=40))
 def test_level_minimises_the_sum_of_squares(sizes):
