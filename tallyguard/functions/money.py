@@ -18,6 +18,18 @@ def cents(amount: Column | str = "amount") -> Column:
     return F.rint(col(amount) * 100).cast("long")
 
 
+def round_cents(value: Column | str) -> Column:
+    """``round(value, 2)``, half away from zero by the number's text.
+
+    Rounding by text costs several times what arithmetic does, so that is left to values within a thousandth of a cent of a half
+    cent, and to those that are not positive or from 1e9 on. Elsewhere both give the double nearest to the same number of cents.
+    """
+    number = col(value)
+    scaled = number * 100
+    clear = (number > 0) & (number < 1e9) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-3)
+    return F.when(clear, F.rint(scaled) / 100.0).otherwise(F.round(number, 2))
+
+
 def money_sum(amount: Column | str = "amount", where: Column | None = None) -> Column:
     """Exact sum; with ``where``, rows that fail it count as zero."""
     value = cents(amount)
@@ -78,9 +90,14 @@ def nearest_limit_distance(amount: Column, limits) -> Column:
 
 
 def leading_digit(amount: Column) -> Column:
-    """First character of the number's text if it is 1 to 9, else 0."""
+    """First character of the number's text if it is 1 to 9, else 0.
+
+    From 1 up to 1e15 it is that of the whole part, whose text is made much faster than that of a double.
+    """
     digit = F.regexp_extract(amount.cast("string"), "^([1-9])", 1)
-    return F.coalesce(F.nullif(digit, F.lit("")).cast("int"), F.lit(0))
+    by_text = F.coalesce(F.nullif(digit, F.lit("")).cast("int"), F.lit(0))
+    whole = F.substring(amount.cast("long").cast("string"), 1, 1).cast("int")
+    return F.when((amount >= 1) & (amount < 1e15), whole).otherwise(by_text)
 
 
 def clean_text(value: Column | str) -> Column:

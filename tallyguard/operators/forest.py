@@ -155,8 +155,8 @@ def _tree_samples(df: DataFrame, id_col: str, rows: int, config: AuditConfig) ->
     # trees whose arc [t, t + share * T) holds the place, on the circle: at most T of them
     last = F.floor(place).cast("long")
     first = F.greatest(F.ceil(place - share * trees).cast("long"), last - (trees - 1))
-    looking = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
-    candidates = df.withColumn("tree", F.explode(looking)).withColumn(
+    looking = F.when(first <= last, F.sequence(first, last))  # the condition keeps it safe beside the filter, too
+    candidates = df.where(first <= last).withColumn("tree", F.explode(looking)).withColumn(
         "tree", F.pmod(F.col("tree"), F.lit(trees)).cast("int")
     )
     candidates = candidates.withColumn("_draw", _unit_hash(F.lit(seed), F.col("tree"), F.col(id_col)))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard import schemas
 from tallyguard.config import DEFAULT, LOWEST_TIER, NO_REASON, RULE_REASONS, AuditConfig
-from tallyguard.functions.money import flag, in_any_band, money_avg
+from tallyguard.functions.money import flag, in_any_band, money_avg, round_cents
 from tallyguard.operators.staging import repeated_groups
 from tallyguard.plans.scratch import write_once
 from tallyguard.plans.small_side import attach_group_values
@@ -49,7 +51,7 @@ def spend_spike(amount: Column, baseline: Column, config: AuditConfig = DEFAULT)
 
 
 def spend_multiplier(amount: Column, baseline: Column) -> Column:
-    return F.round(F.try_divide(amount, baseline), 2)
+    return round_cents(F.try_divide(amount, baseline))
 
 
 def raw_score(config: AuditConfig = DEFAULT) -> Column:
@@ -107,8 +109,8 @@ def with_score(df: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame:
     )
 
 
-def score_ledger(staged: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame:
-    """Staged ledger to flagged ledger.
+def with_group_values(staged: DataFrame) -> DataFrame:
+    """Staged ledger with what the rules take from a row's groups: ``flag_duplicate_invoice``, ``dept_baseline_mean``.
 
     Duplicate groups and department means are aggregated first (with map-side combine) and joined to the
     rows; a window per department or per invoice would put each group in one task. ``staged`` is read three
@@ -120,4 +122,17 @@ def score_ledger(staged: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame:
     rows = attach_group_values(
         rows, department_baseline(staged), ["department"], "dept_rows", "transaction_id", "inner"
     )
-    return with_score(with_row_rules(rows, config), config).select(*schemas.FLAGGED_COLUMNS)
+    return rows.drop("invoice_rows", "dept_rows")
+
+
+def judged(rows: DataFrame, config: AuditConfig = DEFAULT, more: Sequence[str] = ()) -> DataFrame:
+    """Flagged ledger from the rows of ``with_group_values``; all that it adds follows from the row itself.
+
+    ``more`` names columns to keep after those of the flagged ledger.
+    """
+    return with_score(with_row_rules(rows, config), config).select(*schemas.FLAGGED_COLUMNS, *more)
+
+
+def score_ledger(staged: DataFrame, config: AuditConfig = DEFAULT) -> DataFrame:
+    """Staged ledger to flagged ledger."""
+    return judged(with_group_values(staged), config)

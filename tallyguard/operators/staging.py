@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType
 from tallyguard import schemas
 from tallyguard.config import BENIGN_LABEL, DEFAULT_CURRENCY
 from tallyguard.functions import calendar
-from tallyguard.functions.money import clean_text
+from tallyguard.functions.money import clean_text, round_cents
 from tallyguard.plans.ordered import ordered_windows
 from tallyguard.plans.scratch import write_once
 from tallyguard.plans.small_side import attach_group_values
@@ -92,21 +92,28 @@ def _complete() -> Column:
     return valid
 
 
+def calendar_columns(day: Column) -> dict[str, Column]:
+    """The staged columns that follow from the date."""
+    weekday = calendar.sunday_zero(day)
+    return {
+        "transaction_year": F.year(day),
+        "transaction_month": F.month(day),
+        "day_of_week": weekday,
+        "day_name": calendar.day_name(day),
+        "is_weekend": F.when(weekday.isin(0, 6), F.lit(1)).otherwise(F.lit(0)),
+    }
+
+
 def _cleansed() -> list[Column]:
-    weekday = calendar.sunday_zero(F.col("_day"))
     return [
         F.col("transaction_id"),
         F.col("_day").alias("transaction_date"),
-        F.year("_day").alias("transaction_year"),
-        F.month("_day").alias("transaction_month"),
-        weekday.alias("day_of_week"),
-        calendar.day_name(F.col("_day")).alias("day_name"),
-        F.when(weekday.isin(0, 6), F.lit(1)).otherwise(F.lit(0)).alias("is_weekend"),
+        *[value.alias(name) for name, value in calendar_columns(F.col("_day")).items()],
         F.trim("account_id").alias("account_id"),
         F.trim("department").alias("department"),
         F.trim("vendor_id").alias("vendor_id"),
         F.trim("vendor_name").alias("vendor_name"),
-        F.round("_amount", 2).alias("amount"),
+        round_cents("_amount").alias("amount"),
         F.coalesce(clean_text("currency"), F.lit(DEFAULT_CURRENCY)).alias("currency"),
         F.trim("payment_method").alias("payment_method"),
         clean_text("invoice_number").alias("invoice_number"),
@@ -155,19 +162,30 @@ STAGED, QUARANTINED, DROPPED = "staged", "quarantined", "dropped"
 
 
 def arrivals(raw: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
-    """All first arrivals, cleansed, with their ``fate``: one pass for the rows of ``stage`` and of ``quarantine``."""
+    """All first arrivals, cleansed, with their ``fate``: one pass for the rows of ``stage`` and of ``quarantine``.
+
+    What follows from other columns is left to ``staged_of`` and ``quarantined_of``, so that it is not written.
+    """
     fate = F.when(_stageable(), F.lit(STAGED)).when(_held(), F.lit(QUARANTINED)).otherwise(F.lit(DROPPED))
-    return _first_arrivals(raw, order).select(*_cleansed(), fate.alias("fate")).select("*", _missing())
+    rows = _first_arrivals(raw, order).select(*_cleansed(), fate.alias("fate"))
+    return rows.drop(*calendar_columns(F.col("transaction_date")))
+
+
+def _of_fate(found: DataFrame, fate: str) -> DataFrame:
+    day, rest = found.columns[:2], found.columns[2:]
+    added = calendar_columns(F.col("transaction_date"))
+    rows = found.where(F.col("fate") == fate).withColumns(added)
+    return rows.select(*day, *added, *rest).drop("fate")
 
 
 def staged_of(found: DataFrame) -> DataFrame:
     """``stage`` from the written ``arrivals``."""
-    return found.where(F.col("fate") == STAGED).drop("fate", "missing_columns")
+    return _of_fate(found, STAGED)
 
 
 def quarantined_of(found: DataFrame) -> DataFrame:
     """``quarantine`` from the written ``arrivals``."""
-    return found.where(F.col("fate") == QUARANTINED).drop("fate")
+    return _of_fate(found, QUARANTINED).select("*", _missing())
 
 
 def staged_count(staged: DataFrame) -> DataFrame:

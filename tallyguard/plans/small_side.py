@@ -23,6 +23,8 @@ BROADCAST_BYTES = 32 << 20
 HOT_GROUPS = 20_000
 #: bits per group and most bits (16 MB) of the bitmap of key hashes; it is left out where bits would be fewer than two per group
 BITS_PER_GROUP, MAX_BITS = 32, 1 << 27
+#: 64-bit numbers that one of Spark's bitmaps (32,768 bits) is cut into
+BITMAP_WORDS = 512
 
 
 def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
@@ -58,11 +60,14 @@ def _maybe_grouped(df: DataFrame, groups: DataFrame, keys: list[str], rows: int)
     bitmaps = groups.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bitmap")
     )
-    bit = F.bitmap_bit_position(F.col("_place"))
-    byte = F.conv(F.hex(F.substr("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    # eight bytes a number, the first one highest, so that a row looks up its bit without making texts
+    word = lambda i: F.conv(F.hex(F.substr("_bitmap", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+    words = bitmaps.select("_bucket", F.transform(F.sequence(F.lit(0), F.lit(BITMAP_WORDS - 1)), word).alias("_words"))
+    bit = F.bitmap_bit_position(F.col("_place")).cast("int")
     placed = df.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
-    known = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
-    return placed.join(F.broadcast(bitmaps), "_bucket", "left").select(*df.columns, known.alias("_maybe"))
+    found = F.getbit(F.get("_words", F.shiftright(bit, 6)), bit.bitwiseAND(63).bitwiseXOR(56))
+    known = F.coalesce(found == 1, F.lit(False))
+    return placed.join(F.broadcast(words), "_bucket", "left").select(*df.columns, known.alias("_maybe"))
 
 
 def attach_group_values(
