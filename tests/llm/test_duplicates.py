@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from text_cases import clashing, prose, rows, table
 
-from tallyguard.llm import repeats, seed_extend, simhash, suffix_dedup
+from tallyguard.llm import entries, repeats, seed_extend, simhash, suffix_dedup
 
 
 def brute_force(found, length, words):
@@ -61,6 +62,28 @@ def test_bytes_at_full_length(spark):
     assert collected(suffix_dedup.remove_repeated_bytes(table(spark, found))) == brute_force(found, 400, False)
 
 
+def test_planted_passages_go_from_400_bytes_on(spark, tmp_path):
+    """Passages of over 50 words in two documents each: those that hold 400 bytes go whole, shorter ones stay."""
+    rng = random.Random(9)
+    found, planted = [], {}
+    for i in range(24):
+        passage = prose(rng, 51 + i) if i % 2 else prose(rng, 51 + i, ("a", "or"))
+        for doc_id in (10 * i, 10 * i + 1):
+            found.append((doc_id, f"{prose(rng, 80)} {passage} {prose(rng, 80)}", "en", "s", 0))
+            planted[doc_id] = passage
+    found += [(1000 + i, prose(rng, rng.randint(1, 300)), "en", "s", 0) for i in range(40)]
+    table(spark, found).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in entries.op2_suffix_dedup(spark, str(tmp_path)).collect()}
+    for doc_id, n_bytes, spans, kept in brute_force(found, 400, False):
+        want = (n_bytes, sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest())
+        assert (got[doc_id].n_bytes, got[doc_id].n_removed, got[doc_id].n_spans, got[doc_id].kept_sha256) == want
+    assert len(got) == len(found) and all(not got[d].n_removed for d in got if d >= 1000)
+    sizes = {d: len(p.encode()) for d, p in planted.items()}
+    assert all(got[d].n_removed >= n for d, n in sizes.items() if n >= 400)
+    assert all(not got[d].n_removed for d, n in sizes.items() if n < 380)
+    assert sum(n >= 400 for n in sizes.values()) > 5 and sum(n < 380 for n in sizes.values()) > 5
+
+
 def test_ranks_double_up_to_the_length():
     assert suffix_dedup.lengths(400, 64) == [100, 200, 400]
     assert suffix_dedup.lengths(100, 64) == [50, 100] and suffix_dedup.lengths(35, 8) == [9, 18, 35]
