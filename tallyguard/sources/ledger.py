@@ -12,16 +12,26 @@ from tallyguard.sources.perturb import KINDS, Label, perturb
 def order_lines(tables: dict[str, DataFrame]) -> DataFrame:
     """Order lines as ledger rows, before any label is planted.
 
-    Customer joins the orders first, so that the large join carries two small strings. No side is hinted:
+    Customer joins the orders first, so that the large join carries two small strings, and lines come to it with their unit
+    price in cents and a plain date, which take less of its shuffle than what they follow from. No side is hinted:
     Spark broadcasts by measured size and splits skewed partitions of the shuffle joins. A line whose order,
     customer or supplier is missing stays, with nulls, for the quarantine to report.
     """
     buyers = tables["orders"].join(
         tables["customer"].select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"), "left"
     )
+    lines = tables["lineitem"].select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_returnflag",
+        "l_linestatus",
+        F.col("l_shipdate").cast("date").alias("_day"),
+        F.floor(F.rint(F.col("l_extendedprice") * 100) / F.col("l_quantity")).alias("_unit_cents"),
+    )
     rows = (
-        tables["lineitem"]
-        .join(
+        lines.join(
             buyers.select("o_orderkey", "o_custkey", "o_orderpriority", "c_mktsegment"),
             F.col("l_orderkey") == F.col("o_orderkey"),
             "left",
@@ -42,13 +52,12 @@ def order_lines(tables: dict[str, DataFrame]) -> DataFrame:
     )
     return rows.select(
         F.concat(F.lit("TXN-"), line_key).alias("transaction_id"),
-        F.col("l_shipdate").cast("date").alias("transaction_date"),
+        F.col("_day").alias("transaction_date"),
         F.concat(F.lit("GL-"), "l_returnflag", "l_linestatus").alias("account_id"),
         F.col("c_mktsegment").alias("department"),
         F.concat(F.lit("VND-"), F.col("l_suppkey").cast("string")).alias("vendor_id"),
         F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")).alias("vendor_name"),
-        # unit price in whole cents
-        (F.floor(F.rint(F.col("l_extendedprice") * 100) / F.col("l_quantity")) / 100.0).alias("amount"),
+        (F.col("_unit_cents") / 100.0).alias("amount"),
         currency.alias("currency"),
         F.col("o_orderpriority").alias("payment_method"),
         F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string")).alias("invoice_number"),
