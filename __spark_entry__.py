@@ -34,7 +34,7 @@ from tallyguard.operators import (  # noqa: E402
 )
 from tallyguard.operators.features import add_features  # noqa: E402
 from tallyguard.plans import audit_run  # noqa: E402
-from tallyguard.plans.scratch import scratch_path, write_once  # noqa: E402
+from tallyguard.plans.scratch import remove_folder, scratch_path, write_once, write_to  # noqa: E402
 from tallyguard.plans.workspace import Workspace, workspace_for  # noqa: E402
 from tallyguard.session import bound_tasks  # noqa: E402
 from tallyguard.sources import files, ledger  # noqa: E402
@@ -227,8 +227,11 @@ def _csv_feed(ws: Workspace) -> DataFrame:
 def _parquet_feed(ws: Workspace) -> DataFrame:
     """Files in the order of arrival, without the ordinal: file order and row order must stand in for it."""
     spark, path = ws.raw.sparkSession, scratch_path(ws.raw.sparkSession, "feed")
-    order = list(staging.ARRIVAL)
-    ws.raw.repartitionByRange(*order).sortWithinPartitions(*order).drop("ingest_seq").write.parquet(path)
+    order, whole = list(staging.ARRIVAL), scratch_path(spark, "whole")
+    # written first, so that what the feed's joins shuffled is gone when its rows are sorted
+    rows = write_to(ws.raw, whole, files.COMPRESSION).repartitionByRange(*order).sortWithinPartitions(*order)
+    files.write_parquet(rows.drop("ingest_seq"), path)
+    remove_folder(spark, whole)
     return staging.stage(files.read_ledger_parquet(spark, path))
 
 
